@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import decontam, packing, simhash
+from lawloom.llm import decontam, html, packing, quality, simhash, toxicity
 from lawloom.llm.common import table
 
 
@@ -21,6 +21,19 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumn("keep", F.col("tail_probability") >= quality.KEEP)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), where=~toxicity.is_held_out())
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.is_held_out().alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -30,8 +43,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op7_packing, op9_simhash)}
+    return {f.__name__: f for f in (op1_decontamination, op5_quality, op6_toxicity, op7_packing, op9_simhash, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
