@@ -26,6 +26,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding it."""
     if pa.types.is_large_string(column.type):

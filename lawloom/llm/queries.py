@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import decontam, html, packing, quality, simhash, toxicity
+from lawloom.llm import chat, covertree, decontam, html, linededup, lm, packing, quality, simhash, toxicity
 from lawloom.llm.common import table
 
 
@@ -21,6 +21,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    packed, members = chat.format_conversations(rows, tokenizer_path())
+    return chat.digest(chat.read_back(packed, members, tokenizer_path()))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -38,6 +54,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return clean.select("doc_id", "n_lines", "n_deleted", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = simhash.group_by_simhash(table(spark, sf_dir, "documents"), k=4)
     return g.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -48,7 +69,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op5_quality, op6_toxicity, op7_packing, op9_simhash, op10_html)}
+    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:

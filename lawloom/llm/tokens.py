@@ -49,6 +49,10 @@ class Encoder:
             return (self.merge if _RUN(text) else self.merge_plain)(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def decode(self, ids: bytes) -> str:
+        """The text of ids as many() gives them."""
+        return self.tokenizer.decode(array("I", ids).tolist(), skip_special_tokens=False)
+
     def many(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; none for a null text."""
         return [array("I", self.ids(t)).tobytes() for t in texts]
