@@ -1,5 +1,443 @@
-"""Queries over the driver's tables."""
+"""Queries over the driver's tables: each applies library operators to whole tables."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lawloom.functions import codes, ids, text
+from lawloom.functions.jsonblob import json_blob
+from lawloom.operators import anomalies, enrich, passes, registry, rules, segment, validate
+from lawloom.sources import publish, volumes
+from lawloom.streaming import incremental
+
+#: Terms that tagging queries look for.
+TERMS = ["all rights reserved", "apache license", "gnu", "license", "thtion", "keit", "mente", "eaux", "idiot"]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    parts = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    return parts.select("doc_id", "source", (F.col("n") + 1).cast("long").alias("line_no"), "line").where(~text.is_blank(F.col("line")))
+
+
+@query
+def segment_lines(spark, sf_dir):
+    """Lines as sections of a document: repeats dropped, numbered, hashed and keyed."""
+    lines = segment.distinct_first(_lines(_t(spark, sf_dir, "documents")), ["doc_id", "line"], [F.col("line_no")])
+    numbered = segment.with_order(lines, ["doc_id"], [F.col("line_no")], "original_order")
+    hashes = enrich.content_hash(lines, ["doc_id"], "line", "content_hash")
+    keyed = numbered.join(hashes, "doc_id").withColumn("unique_key", F.concat_ws("-", F.format_string("%03d", "doc_id"), F.substring(F.md5(F.substring("line", 1, 3)), 1, 2)))
+    keyed = enrich.suffix_keys(keyed, key="unique_key", order=["original_order"])
+    return keyed.select("doc_id", "source", "line_no", "original_order", "unique_key", "content_hash", F.length("line").cast("long").alias("n_chars"))
+
+
+@query
+def dedup_keep_first(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("text_sha256"))
+    return segment.distinct_first(d, ["text_sha256", "lang"], [F.col("doc_id")])
+
+
+@query
+def union_tagged(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.length("text").cast("long").alias("n_chars"), "lang")
+    bench = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.length("text").cast("long").alias("n_chars"))
+    return segment.union_tagged({"Section": docs, "Division": bench}, "entry_type")
+
+
+@query
+def union_terms(spark, sf_dir):
+    """Set union of two lookup columns."""
+    a = _t(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("a"), F.lit(None).cast("string").alias("b"))
+    b = _t(spark, sf_dir, "orders").select(F.lit(None).cast("string").alias("a"), F.col("o_orderpriority").alias("b"))
+    return enrich.terms(a.unionByName(b), ["a", "b"])
+
+
+@query
+def selection_sample(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "lang", F.split("text", "\n")[0].alias("name"), F.lit("").alias("title"))
+    s = segment.sample(d, keys=["lang"], id_column="doc_id", n=50, where=segment.eligible("name", "title"))
+    return s.select("doc_id", "lang", F.col("Selection").alias("selection"), F.col("Order").alias("order_no"))
+
+
+@query
+def content_hash(spark, sf_dir):
+    return enrich.content_hash(_t(spark, sf_dir, "conversations"), ["conv_id"], "text", "content_hash")
+
+
+@query
+def law_flag_semi(spark, sf_dir):
+    """Orders with a returned line; the flag of each order."""
+    li = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("hit", F.lit(True))
+    return _t(spark, sf_dir, "orders").select("o_orderkey").join(li, "o_orderkey", "left").select("o_orderkey", F.coalesce("hit", F.lit(False)).alias("is_appropriation"))
+
+
+@query
+def group_flag(spark, sf_dir):
+    """The same as a window over the rows of a law."""
+    return enrich.exists_flag(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), ["l_orderkey"], F.col("l_returnflag") == "R", "is_appropriation")
+
+
+@query
+def existence_semi(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", "lang").join(_t(spark, sf_dir, "labels"), "doc_id", "left_semi")
+
+
+@query
+def missing_anti(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+def _tagged(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return enrich.tag_rows(d, ["text"], TERMS, "tags").drop("text")
+
+
+@query
+def agency_tags_row(spark, sf_dir):
+    return publish.as_text(_tagged(spark, sf_dir))
+
+
+@query
+def agency_tags_law(spark, sf_dir):
+    d = enrich.law_tags(_tagged(spark, sf_dir), ["source"], "tags", "law_tags")
+    return publish.as_text(d.select("doc_id", "source", "law_tags"))
+
+
+@query
+def dictionary_ids(spark, sf_dir):
+    """A dictionary of part types that grows by those it lacks."""
+    p = _t(spark, sf_dir, "part")
+    known = p.where("p_partkey <= 20").select(F.lower("p_type").alias("term")).distinct()
+    # ids of the start are any fixed numbering
+    start = known.join(known.select(F.col("term").alias("u")), F.col("u") <= F.col("term")).groupBy("term").agg(F.count("*").alias("id"))
+    return enrich.grow_dictionary(start, p.select(F.col("p_type").alias("term"))).select("term", "id")
+
+
+@query
+def dictionary_lookup(spark, sf_dir):
+    n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region").where("r_regionkey <> 3")
+    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    return j.select("n_nationkey", "n_name", codes.heading_code(F.col("r_regionkey"), F.col("n_name")).alias("heading_code"), F.coalesce("r_name", F.lit("(blank)")).alias("region"))
+
+
+def _law_id(key="o_orderkey", cust="o_custkey"):
+    c, k = F.col(cust) % 120, F.col(key)
+    return F.when(k % 5 == 0, F.concat(F.lit("Public Law "), c.cast("string"), F.lit("–"), k.cast("string"))).when(k % 5 == 1, F.concat(c.cast("string"), F.lit(" - "), k.cast("string"))).when(k % 5 == 2, F.concat(F.lit("75 Stat. "), k.cast("string"))).when(k % 5 == 3, F.concat(F.lit("Pub. L. "), c.cast("string"), F.lit("—"), k.cast("string"), F.lit(" note"))).otherwise(F.lit(None))
+
+
+@query
+def normalize_ids(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", _law_id().alias("law_id"))
+    c = F.col("law_id")
+    return o.select("o_orderkey", ids.normalize(c).alias("plain"), ids.published(c).alias("published"), ids.number(c).alias("number"), ids.pair(c, 1).alias("congress"), ids.pair(c, 2).alias("law"))
+
+
+@query
+def derive_ids(spark, sf_dir):
+    """Identifiers from metadata of modern and of old volumes, and the repair of malformed ones."""
+    k = F.col("o_orderkey")
+    vol = (k % 40 + 50).cast("int")
+    congress, number = (k % 90 + 30).cast("string"), F.col("o_custkey").cast("string")
+    cited = F.when(k % 4 == 0, F.concat(F.lit("Public Law "), congress, F.lit("-"), number)).when(k % 4 == 1, F.concat(F.lit("75 Stat. "), number)).when(k % 4 == 2, F.concat(F.lit("Public Law "), congress, F.lit("–v")))
+    note = F.when(k % 4 == 0, F.concat(F.lit("[Public Law "), number, F.lit("]"))).when(k % 4 == 1, F.concat(F.lit("Public, No. "), number, F.lit(".]"))).when(k % 4 == 2, F.concat(F.lit("Private Law "), number))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", vol.alias("vol"), congress.alias("congress"), number.alias("number"), cited.alias("cited"), note.alias("note"))
+    d = o.withColumn("law_id", ids.derive(F.col("vol"), F.col("cited"), F.col("note"), F.col("congress"), F.col("number")))
+    return d.select("o_orderkey", "law_id", ids.repair(F.col("law_id"), F.col("congress"), F.col("number")).alias("repaired"))
+
+
+@query
+def alpha_code(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    letters = F.substring(F.regexp_replace("p_name", "[^A-Za-z]", ""), 1, 2)
+    v = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" Division "), letters)).when(F.col("p_partkey") % 3 == 1, letters).otherwise(F.concat(letters, F.lit("1")))
+    return p.select("p_partkey", codes.alpha_code(v, "DIVISION").alias("code"))
+
+
+@query
+def alpha_markers(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    n = (F.col("p_partkey") % 1500 + 1).cast("int")
+    return p.select("p_partkey", codes.alpha_marker(n).alias("marker"))
+
+
+def _roman():
+    digits = ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "IIII"]
+    tens = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "XC", "IX"]
+    pick = lambda xs, n: F.element_at(F.array(*(F.lit(x) for x in xs)), (n % len(xs) + 1).cast("int"))
+    return F.concat(F.lit("TITLE "), pick(tens, F.col("l_partkey")), pick(digits, F.col("l_suppkey") + F.col("l_linenumber")))
+
+
+@query
+def roman_code(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", codes.numeral_code(_roman(), "TITLE").alias("roman"), codes.numeral_code(F.concat(F.lit("chapter "), F.col("l_partkey").cast("string")), "CHAPTER").alias("numeric"))
+
+
+def _section_number():
+    k = F.col("l_partkey")
+    return F.when(F.col("l_linenumber") == 1, F.lit(None)).when(k % 4 == 0, F.concat(F.lit("Sec. "), k.cast("string"), F.lit("."))).when(k % 4 == 1, F.concat(F.lit("SECTION "), k.cast("string"), F.lit("-ab"))).when(k % 4 == 2, F.concat(F.lit("U"), k.cast("string"))).otherwise("(blank)")
+
+
+@query
+def section_code(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").withColumn("number", _section_number())
+    return li.select("l_orderkey", "l_linenumber", codes.section_code(F.col("number")).alias("code"), codes.is_first_section(F.col("number")).alias("is_first"))
+
+
+def _keyed(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    none = F.lit(None).cast("string")
+    key = codes.unique_key(law_id=F.concat((F.col("l_orderkey") % 117).cast("string"), F.lit("–"), F.col("l_orderkey").cast("string")), division=F.concat(F.lit("DIVISION "), F.col("l_returnflag")), title=_roman(), subtitle=none, chapter=F.concat(F.lit("CHAPTER "), F.col("l_linenumber").cast("string")), subchapter=none, entry_type=F.when(F.col("l_linestatus") == "O", "Section").otherwise("Division"), section_number=_section_number(), heading_codes=[codes.heading_code(F.col("l_suppkey"), F.col("l_returnflag")), F.lit("00001"), F.lit("00001")])
+    return li.select("l_orderkey", "l_linenumber", key.alias("unique_key"))
+
+
+@query
+def unique_key(spark, sf_dir):
+    return _keyed(spark, sf_dir)
+
+
+def _short_keys(spark, sf_dir):
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.lit("1-2-3-4-5-6"), F.col("l_returnflag"), F.lit("9")).alias("unique_key"))
+
+
+@query
+def key_suffix(spark, sf_dir):
+    return enrich.suffix_keys(_short_keys(spark, sf_dir), key="unique_key", order=["l_linenumber"])
+
+
+@query
+def key_suffix_legacy(spark, sf_dir):
+    return enrich.suffix_keys_in_type(_short_keys(spark, sf_dir), key="unique_key", order=["l_linenumber"])
+
+
+@query
+def duplicate_keys(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").groupBy(F.md5("text").alias("text_md5")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    return d.where("n > 1")
+
+
+@query
+def duplicate_groups_top6(spark, sf_dir):
+    g = anomalies.duplicate_groups(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), key="o_custkey", order="o_orderkey", fields=["o_orderpriority"])
+    listed = F.array_join(F.transform("rows", lambda r: F.concat_ws(":", r["o_orderkey"].cast("string"), r["o_orderpriority"])), "|")
+    return g.select("o_custkey", "n", listed.alias("rows"), "truncated")
+
+
+def _numbered(spark, sf_dir):
+    number = F.when(F.col("event_id") % 11 == 0, None).otherwise(F.floor(F.col("event_id") / 40) + F.when(F.col("event_id") % 5 == 0, 2).otherwise(0))
+    return _t(spark, sf_dir, "events").select("user_id", "event_id", number.cast("long").alias("number"))
+
+
+@query
+def sequence_anomalies(spark, sf_dir):
+    return anomalies.sequence_anomalies(_numbered(spark, sf_dir), group=["user_id"], position="event_id", number="number")
+
+
+@query
+def neighbour_context(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    near = anomalies.neighbours(group=["user_id"], position="event_id", fields=["event_type"])
+    e = e.withColumn("near", near)
+    return e.select("user_id", "event_id", F.array_join(F.transform("near", lambda r: F.concat_ws(":", r["event_id"].cast("string"), r["event_type"])), "|").alias("near"))
+
+
+@query
+def null_ordinals(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.concat(F.lit("Sec. "), F.col("l_linenumber").cast("string"), F.lit("."))).alias("number"))
+    return passes.null_ordinals(li, law=["l_orderkey"], number="number", order=["l_linenumber"])
+
+
+@query
+def heading_ordinals(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    name = F.substring("p_name", 1, 4)
+    level2 = F.when(F.col("p_size") % 3 > 0, F.when(F.col("p_partkey") % 2 == 0, F.upper(name)).otherwise(F.lower(name)))
+    rows = p.select("p_brand", "p_partkey", F.col("p_type").alias("level1"), level2.alias("level2"), F.lit(None).cast("string").alias("level3"))
+    return passes.heading_ordinals(rows, law=["p_brand"], levels=["level1", "level2", "level3"], order=["p_partkey"])
+
+
+@query
+def sibling_blocks(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return passes.block_ordinals(li, group=["l_orderkey"], suffix=F.col("l_returnflag"), position="l_linenumber")
+
+
+RULES = [("7-", "urgent", "8-1"), ("8-1", "urgent", "9-9"), ("11-", "(high)", "12-0")]
+SECTION_RULES = [("1", "bolt", None, "SEC. 1."), ("2", "o", None, "SEC. 2."), ("1", "a", "steel", "SEC. 3.")]
+
+
+@query
+def rules_law_id(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws("-", (F.col("o_custkey") % 20).cast("string"), F.col("o_orderkey").cast("string")).alias("LawIdentifier"), F.regexp_replace("o_orderpriority", "^2-HIGH$", "2 (High)").alias("LawTitle"))
+    return rules.apply(o, law_ids=RULES).select("o_orderkey", F.col("LawIdentifier").alias("law_id"))
+
+
+def _ruled(spark, sf_dir, how):
+    p = _t(spark, sf_dir, "part")
+    c = how(F.col("p_brand"), F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_type"), SECTION_RULES)
+    return p.select("p_partkey", c.alias("number"))
+
+
+@query
+def rules_section(spark, sf_dir):
+    return _ruled(spark, sf_dir, rules.last_wins)
+
+
+@query
+def rules_first_match(spark, sf_dir):
+    return _ruled(spark, sf_dir, rules.first_wins)
+
+
+@query
+def rule_mutations(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    after = rules.last_wins(F.col("p_brand"), F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_type"), SECTION_RULES)
+    return p.agg(rules.mutations(F.col("p_brand"), after).alias("n_changed"))
+
+
+def _table(spark, sf_dir):
+    """Line items in the shape of a published table."""
+    k, c = F.col("l_orderkey"), F.col("l_partkey")
+    law = F.when(k % 97 == 0, "81-175").when(k % 89 == 0, "none").otherwise(F.concat_ws("-", (k % 60 + 60).cast("string"), (k % 500).cast("string")))
+    title = F.when(k % 194 == 0, "Social Security Amendments").otherwise("An Act")
+    return _t(spark, sf_dir, "lineitem").select((k % 7 + 110).cast("int").alias("vol"), F.concat_ws("-", law, c.cast("string")).alias("UniqueKey"), F.when(F.col("l_linestatus") == "O", "Section").when(k % 301 == 0, "Chapter").otherwise("Division").alias("EntryType"), law.alias("LawIdentifier"), title.alias("LawTitle"), F.lit("name").alias("SectionName"), F.lit("1").alias("SectionNumber"), F.when(c % 4 > 0, F.lit("text")).alias("Text"), (c % 50 == 0).cast("int").alias("Selection"))
+
+
+@query
+def validate_report(spark, sf_dir):
+    m = validate.measures(_table(spark, sf_dir), ["vol"])
+    r = validate.report(m)
+    out = r.join(m.select("vol", "duplicate_keys", "bad_ids", "with_text", "selected", "law_0", F.size("bad_types").cast("long").alias("n_bad_types")), "vol")
+    return out.select("vol", "row_count", "law_count", "duplicate_keys", "bad_ids", "with_text", "selected", F.col("law_0").alias("law_rule_0"), "n_bad_types", F.size("failed").cast("long").alias("n_failed"), F.size("warnings").cast("long").alias("n_warnings"), "status")
+
+
+@query
+def law_count_diff(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("laws"))
+    li = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey").distinct()
+    there = _t(spark, sf_dir, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(F.count("*").alias("with_rows"))
+    return o.join(there, "o_orderpriority", "left").select("o_orderpriority", "laws", F.coalesce("with_rows", F.lit(0).cast("long")).alias("with_rows"), (F.col("laws") - F.coalesce("with_rows", F.lit(0).cast("long"))).alias("missing"))
+
+
+@query
+def report_status(spark, sf_dir):
+    some = lambda c: F.when(c, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    return _t(spark, sf_dir, "events").select("event_id", validate.status(some(F.col("value") > 80), some(F.col("value") > 40)).alias("status"))
+
+
+@query
+def classify_family(spark, sf_dir):
+    k = F.col("p_partkey")
+    said = F.when(k % 6 == 0, "The SectionNumber is NULL here").when(k % 6 == 1, "<main> contains <part> only").when(k % 6 == 2, "two sibling <appropriations>").when(k % 6 == 3, "sibling <level> and no <num>").when(k % 6 == 4, F.col("p_name"))
+    return _t(spark, sf_dir, "part").select("p_partkey", text.first_match(said, rules.FAMILIES, "none").alias("family"))
+
+
+@query
+def registry_dedupe_seen_again(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("id"), (F.count("*") - 1).alias("seen_again_count"))
+    return e
+
+
+@query
+def issue_append(spark, sf_dir):
+    """Rows whose key, letter case and outer space aside, the table lacks."""
+    c = _t(spark, sf_dir, "customer")
+    there = c.where("c_custkey % 3 = 0").select(F.upper("c_name").alias("name"), F.concat(F.lit(" "), F.col("c_mktsegment")).alias("kind"))
+    return registry.append_new(there, c.select(F.col("c_name").alias("name"), F.lower("c_mktsegment").alias("kind")), ["name", "kind"])
+
+
+@query
+def run_summary(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("o_orderpriority")), "|").alias("priorities"))
+
+
+@query
+def active_over_pending(spark, sf_dir):
+    a = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("active").alias("status"))
+    p = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("pending").alias("status"))
+    return registry.override_union(a, p, "id")
+
+
+@query
+def sme_view(spark, sf_dir):
+    s = selection_sample(spark, sf_dir)
+    return s.where("selection = 1").orderBy("lang", "order_no").select("lang", "order_no", "doc_id")
+
+
+@query
+def publish_columns(spark, sf_dir):
+    """The 26 columns in their order; absent ones are null."""
+    d = _t(spark, sf_dir, "documents")
+    t = d.select((F.col("doc_id") % 5).cast("int").alias("vol"), F.col("doc_id").cast("string").alias("UniqueKey"), F.concat(F.lit("106-"), F.col("doc_id").cast("string")).alias("LawIdentifier"), F.sha2("text", 256).alias("ContentHash"), (F.col("doc_id") % 3 == 0).cast("int").alias("Selection"), F.lit("Section").alias("EntryType"))
+    return publish.as_text(publish.final(t))
+
+
+@query
+def blank_fill(spark, sf_dir):
+    d = _t(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "fine").alias("verdict"))
+    return publish.filled(d)
+
+
+@query
+def review_merge(spark, sf_dir):
+    d, b = _t(spark, sf_dir, "documents").select("doc_id", "lang"), _t(spark, sf_dir, "labels")
+    return d.join(b, "doc_id", "left").select("doc_id", "lang", F.coalesce(F.when(F.col("quality") == 1, "Approved").when(F.col("quality") == 0, "Rejected"), F.lit("Pending")).alias("review_status"))
+
+
+@query
+def markup_walk(spark, sf_dir):
+    """Documents as volumes of markup, parsed back into rows: one section for each line."""
+    safe = F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    lines = F.filter(F.transform(F.split(F.replace(safe, F.lit("\r"), F.lit("")), "\n"), lambda x: text.strip(x)), lambda x: x != "")
+    esc = lambda x: F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    sections = F.array_join(F.transform(lines, lambda x, i: F.concat(F.lit("<section><num>"), (i + 1).cast("string"), F.lit("</num><content>"), esc(x), F.lit("</content></section>"))), "")
+    xml = F.concat(F.lit('<uslm xmlns="http://schemas.gpo.gov/xml/uslm"><pLaw><publicPrivate>public</publicPrivate><citableAs>Public Law 99-1</citableAs><approvedDate>1964-07-07</approvedDate><officialTitle>T</officialTitle><docTitle>AN ACT</docTitle><main>'), sections, F.lit("</main></pLaw></uslm>"))
+    files = _t(spark, sf_dir, "documents").select((F.col("doc_id") + 1000).cast("int").alias("vol"), xml.cast("binary").alias("content"))
+    rows = volumes.law_rows(volumes.identified(volumes.read_laws(files).where("error is null")))
+    return rows.where("error is null").select((F.col("vol") - 1000).cast("long").alias("doc_id"), (F.col("counter") + 1).alias("line_no"), F.col("SectionNumber").alias("number"), F.md5("Text").alias("text_md5"))
+
+
+@query
+def json_extract(spark, sf_dir):
+    said = F.concat(F.lit("The answer is {as asked}: "), F.col("props"), F.lit(" - done."))
+    e = _t(spark, sf_dir, "events").select("event_id", json_blob(said).alias("blob"))
+    return e.select("event_id", F.from_json("blob", "k long").getField("k").alias("k"))
+
+
+@query
+def incremental_skip(spark, sf_dir):
+    """Orders that are new or changed since the last snapshot."""
+    digest = F.md5(F.concat_ws("|", "o_orderstatus", "o_orderpriority", F.col("o_custkey").cast("string")))
+    now = _t(spark, sf_dir, "orders").select("o_orderkey", digest.alias("digest"))
+    seen = now.where("o_orderkey % 2 = 0").withColumn("digest", F.when(F.col("o_orderkey") % 10 == 0, "old").otherwise(F.col("digest")))
+    return incremental.pending(now, seen, key="o_orderkey", digest="digest")
+
+
+@query
+def incremental_state(spark, sf_dir):
+    k = F.col("o_orderkey")
+    old = F.when(k % 4 == 0, None).when(k % 4 == 1, "a").otherwise("b")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", incremental.state(old, F.lit("a"), F.when(k % 3 == 0, "failed").otherwise("published")).alias("state"))
+
+
+@query
+def anomaly_report(spark, sf_dir):
+    """The first 80 anomalies: a report."""
+    return anomalies.top(sequence_anomalies(spark, sf_dir).select("user_id", "event_id", "kind"), ["user_id", "event_id", "kind"])
