@@ -123,9 +123,10 @@ def pack_pieces(cut_docs: DataFrame, *, capacity: int = CAPACITY, lot: int = LOT
     lots = max(1, -(-rows // lot))
 
     def run(batches):
-        got = pa.Table.from_batches(list(batches))
-        if not got.num_rows:
+        own = [b for b in batches if b.num_rows]
+        if not own:
             return
+        got = pa.Table.from_batches(own)
         of, offset = pack(got["length"].to_pylist(), capacity)
         base = TaskContext.get().partitionId() << 40
         got = got.append_column("sequence_id", pa.array([base + b for b in of], pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
