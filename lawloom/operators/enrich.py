@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,6 @@ def tag_rows(df: DataFrame, columns: list[str], known: list[str], name: str = "A
     if len(known) <= LITERAL_TERMS:
         return df.withColumn(name, tags(columns, known))
     import ahocorasick
-    import pandas as pd
 
     shared = df.sparkSession.sparkContext.broadcast(sorted(set(known)))
 

@@ -149,10 +149,14 @@ def read_workbook(path: str) -> tuple[list[str], list[list[str | None]]]:
     rows = []
     for r in sheet.iterfind(".//m:row", ns):
         row: dict[int, str | None] = {}
+        at = 0
         for c in r.iterfind("m:c", ns):
-            at = 0
-            for ch in re.match("[A-Z]*", c.get("r", "A"))[0]:
-                at = at * 26 + ord(ch) - 64
+            if name := re.match("[A-Z]+", c.get("r", "")):
+                at = 0
+                for ch in name[0]:
+                    at = at * 26 + ord(ch) - 64
+            else:
+                at += 1
             value = c.find("m:v", ns)
             inline = "".join(t.text or "" for t in c.iterfind(".//m:t", ns))
             row[at - 1] = shared[int(value.text)] if c.get("t") == "s" else inline if c.get("t") == "inlineStr" else None if value is None else value.text
