@@ -208,22 +208,5 @@ def group_by_simhash(docs: DataFrame, *, k: int = 4, hot: int = HOT) -> DataFram
     return fps.join(cut(named), "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, *, k: int = 5, hot: int = HOT) -> DataFrame:
-    """One document of each group, the one with the least doc_id, all columns as they were. Rows without an id stay.
-
-    Of rows that repeat the id of a group's first document, one stays.
-    """
-    group = cut(group_by_simhash(docs, k=k, hot=hot))
-    copies = group.where("doc_id <> component_id").select("doc_id").distinct()
-    again = cut(group.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"))
-    key = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    kept = key.join(cut(copies).withColumnRenamed("doc_id", "__id"), "__id", "left_anti")
-    if again.isEmpty():
-        return kept.drop("__id")
-    repeated = again.withColumnRenamed("doc_id", "__id")
-    once = kept.join(repeated, "__id", "left_semi").dropDuplicates(["__id"])
-    return kept.join(repeated, "__id", "left_anti").unionByName(once).drop("__id")
-
-
 def hex16(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -105,13 +105,3 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(61)) and got[300] == got[200] == 200
     assert {got[x] for a in links for x in a if 100 <= x <= 160} == {100}
     assert components.components(df.limit(0)).count() == 0
-
-
-def test_one_of_each_group_stays(spark):
-    t = texts()[:5]
-    rows = [(9, t[0], 1), (2, t[0], 2), (2, t[0], 2), (5, "something else entirely here now", 3), (None, t[0], 4), (7, None, 5), (8, "", 6)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, component_id long")
-    kept = simhash.drop_near_copies(df, k=5)
-    assert kept.columns == df.columns
-    assert sorted((r.doc_id or -1, r.component_id) for r in kept.collect()) == [(-1, 4), (2, 2), (5, 3), (7, 5)]
-    assert simhash.drop_near_copies(df.limit(0)).count() == 0
