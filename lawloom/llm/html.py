@@ -31,6 +31,7 @@ _DROP_WORD = frozenset("ad ads adv advert adverts advertisement advertising spon
 _ENDS_P = _BLOCK - {"body", "html", "head", "title", "option", "optgroup", "legend", "td", "th", "tr", "tbody", "thead", "tfoot"}
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _WORDS = re.compile("[a-z]+|[A-Z][a-z]*")
+_OPENS = re.compile("<[A-Za-z/!?]")
 _LIST = frozenset("ul ol dl table tr select".split())
 
 
@@ -109,6 +110,10 @@ class _Lines(HTMLParser):
         elif tag in _BLOCK:
             self.end_line()
 
+    def parse_html_declaration(self, i):
+        # marked sections are comments in web pages; the parser would refuse ill-formed ones
+        return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
+
     def handle_data(self, data):
         if not self.open[-1][1]:
             self.text.append(data)
@@ -121,11 +126,18 @@ def smooth(x: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return (np.convolve(x, k) / np.convolve(np.ones(len(x)), k))[r : r + len(x)]
 
 
+def whole_tags(html: str) -> str:
+    """The page without a tag that its end cuts off; the parser would look for that tag's end again and again."""
+    last = html.rfind(">") + 1
+    m = _OPENS.search(html, last)
+    return html[: m.start()] if m else html
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     p = _Lines()
-    p.feed(html)
+    p.feed(whole_tags(html))
     p.close()
     p.end_line()
     lines = p.lines

@@ -20,6 +20,8 @@ def test_without_an_article():
 def test_broken_and_empty_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<nav>x</nav>") == html.main_text("<div></div>") == ""
     assert html.main_text("just text") == "just text"
+    assert html.main_text("<p>a</p><![if x]><p>b</p><![<!x>c") == "a\nb\nc"
+    assert html.main_text("<p>a < b</p>" + "<a " * 20000) == "a < b"
     assert html.main_text("<p>a<p>b</div></p><b>c") == "a\nb\nc"
     assert html.main_text("<article>" + "<p>w</p>" * 5000) == "\n".join(["w"] * 5000)
     assert html.main_text("<p>" + "<b>" * 3000 + "x") == "x"
