@@ -74,7 +74,7 @@ def test_pseudo_likelihood(spark):
     rows = {x.doc_id: x for x in lm.score_corpus(d).collect()}
     assert len(rows) == len(docs)
     assert rows[901].n_tokens == rows[902].n_tokens == 0 and rows[901].log_prob == rows[902].mean_log_prob == 0.0
-    assert rows[0].n_tokens == 240 and rows[0].log_prob == rows[903].log_prob
+    assert rows[0].n_tokens == 240 and abs(rows[0].log_prob - rows[903].log_prob) < 1e-3
     assert rows[0].mean_log_prob > rows[900].mean_log_prob + 0.2
     assert all(x.log_prob <= 0 for x in rows.values())
     assert lm.score_corpus(d.limit(0)).count() == 0
@@ -93,8 +93,8 @@ def test_network_sums_to_one_and_its_step_is_the_gradient():
     assert net.log_p(w, s).mean() > before
     step = start.c - net.c
     i = np.unravel_index(np.abs(step).argmax(), step.shape)
-    for sign in (1, -1):
-        start.c[i] += sign * 1e-2 if sign > 0 else -2e-2
-        up = start.log_p(w, s).mean() if sign > 0 else up
-        down = start.log_p(w, s).mean()
-    assert abs(step[i] / 0.01 + (up - down) / 2e-2) < 1e-2
+    moved = []
+    for by in (1e-2, -2e-2):
+        start.c[i] += by
+        moved.append(start.log_p(w, s).mean())
+    assert abs(step[i] / 0.01 + (moved[0] - moved[1]) / 2e-2) < 1e-2
