@@ -73,13 +73,14 @@ def grow_dictionary(known: DataFrame, values: DataFrame) -> DataFrame:
 
     ``known`` has term, id; ``values`` has term. Ids are numbered from the size of the dictionary on.
     """
-    size = known.agg(F.count("*").alias("size"))
+    size = known.count()
     new = values.select(F.lower(text.strip(F.col("term"))).alias("term")).where("term is not null and term not in ('', 'nan')").distinct().join(known, "term", "left_anti")
-    # a rank among all new terms without one task for them: counts of sorted ranges, then numbers within each
-    ranked = new.repartitionByRange("term").withColumn("__p", F.spark_partition_id()).withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy("term")))
-    before = ranked.groupBy("__p").count().select(F.col("__p").alias("__q"), (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__before"))
-    numbered = ranked.join(F.broadcast(before), F.col("__p") == F.col("__q")).crossJoin(F.broadcast(size))
-    return known.select("term", F.col("id").cast("long")).unionByName(numbered.select("term", (F.col("size") + F.col("__before") + F.col("__n")).cast("long").alias("id")))
+    # ranks without one task for all new terms: counts of what sorts before a first pair of characters, then numbers within it
+    new = new.withColumn("__p", F.substring("term", 1, 2))
+    ranked = new.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy("term")))
+    before = new.groupBy("__p").count().select(F.col("__p").alias("__q"), (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__before"))
+    numbered = ranked.join(before, F.col("__p") == F.col("__q"))
+    return known.select("term", F.col("id").cast("long")).unionByName(numbered.select("term", (F.lit(size) + F.col("__before") + F.col("__n")).cast("long").alias("id")))
 
 
 def headings(df: DataFrame) -> DataFrame:
