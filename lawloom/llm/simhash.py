@@ -150,21 +150,34 @@ def _range_join(cells: DataFrame, hot: int) -> DataFrame:
             kept.clear()
             return c, f
 
+        def hand_on(f):
+            same = pa.array(f.view(np.int64))
+            return pa.RecordBatch.from_arrays([same, same], ["a", "b"])
+
         def links(c, f):
             x, y = _links_in(c, f, hot)
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["a", "b"])
 
+        full = None  # a cell with too many fingerprints; they are handed on as they come
         for batch in batches:
             c, f = batch["cell"].to_numpy(zero_copy_only=False), batch["fp"].to_numpy(zero_copy_only=False).view(np.uint64)
+            if full is not None:
+                own = int(np.searchsorted(c, full, side="right"))
+                if own:
+                    yield hand_on(f[:own])
+                c, f = c[own:], f[own:]
             if not len(c):
                 continue
+            full = None
             kept.append((c, f))
-            if c[0] == c[-1] and len(kept) > 1 and kept[-2][0][-1] == c[-1]:
+            if kept[0][0][0] == c[-1]:  # one cell so far
+                if sum(len(x) for x, _ in kept) > hot:
+                    full = c[-1]
+                    yield hand_on(flush()[1])
                 continue
             c, f = flush()
             last = int(np.searchsorted(c, c[-1]))
-            if last:
-                yield links(c[:last], f[:last])
+            yield links(c[:last], f[:last])
             kept.append((c[last:], f[last:]))
         c, f = flush()
         if len(c):
