@@ -102,63 +102,111 @@ def pack(turns: DataFrame) -> DataFrame:
     def run(batches):
         here, tree, at, carried, first = TaskContext.get().partitionId(), None, 0, False, True
         for b in batches:
-            starts, flags = [], []
+            starts, flags, heads = [], [], []
             for path, n in zip(b["path"].to_pylist(), b["length"].to_pylist()):
+                heads.append(first and len(path) > _NAME)
                 if path[:_NAME] != tree:
                     tree, at = path[:_NAME], 0
                     carried, first = first and len(path) > _NAME, False
                 starts.append(at)
                 flags.append(carried)
                 at += n
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()), pa.array([here] * len(starts), pa.int32())], [*b.schema.names, "start", "carried", "part"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()), pa.array(heads, pa.bool_()), pa.array([here] * len(starts), pa.int32())], [*b.schema.names, "start", "carried", "head", "part"])
 
-    placed = ordered.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", start long, carried boolean, part int")
+    placed = ordered.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", start long, carried boolean, head boolean, part int")
     placed = cut(placed.withColumn("tree", _part("path", 1)))
     # trees that cross a border: at most one for each partition, with one length for each partition they touch
     crossing = placed.where("carried").select("tree").distinct()
     lengths = placed.join(F.broadcast(crossing), "tree", "left_semi").groupBy("tree", "part").agg(F.max(F.col("start") + F.col("length")).alias("n")).collect()
-    before = {(bytes(a["tree"]), a["part"]): sum(b["n"] for b in lengths if b["tree"] == a["tree"] and b["part"] < a["part"]) for a in lengths}
+    before, was, total = {}, None, 0
+    for r in sorted(lengths, key=lambda r: (bytes(r["tree"]), r["part"])):
+        tree = bytes(r["tree"])
+        total = total if tree == was else 0
+        before[tree, r["part"]], was = total, tree
+        total += r["n"]
     spark = turns.sparkSession
     carry = spark.createDataFrame([(bytearray(t), p, n) for (t, p), n in before.items()], "tree binary, part int, before long")
     placed = placed.join(F.broadcast(carry), ["tree", "part"], "left").withColumn("start", F.col("start") + F.coalesce("before", F.lit(0).cast("long")))
-    depth = (F.octet_length("path") / _NAME).cast("int")
-    placed = placed.select("tree", "start", "length", F.expr(f"substring(path, -{_NAME})").alias("node"), F.when(depth > 1, F.expr(f"substring(path, octet_length(path) - {2 * _NAME - 1}, {_NAME})")).alias("parent"), (depth - 1).alias("depth"), "n_convs", "position", "ids", "loss_from", "loss_to", "path")
-    return _with_ancestors(placed)
+    return _with_ancestors(placed.drop("before", "carried"))
+
+
+def _merged(spans: list[tuple[int, int]], span: tuple[int, int]) -> list[tuple[int, int]]:
+    """The intervals with one more behind them; neighbours become one."""
+    return [*spans[:-1], (spans[-1][0], span[1])] if spans and spans[-1][1] == span[0] else [*spans, span]
 
 
 def _with_ancestors(placed: DataFrame) -> DataFrame:
-    """Adds ancestors: the intervals of the nodes above, from the root down."""
-    above = placed.where("depth > 0").select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("depth") - 1), lambda i: F.col("path").substr(i * _NAME + 1, F.lit(_NAME)))).alias("up"))
-    places = placed.select(F.col("node").alias("up"), F.col("start").alias("from"), (F.col("start") + F.col("length")).alias("to"))
-    found = above.join(places, "up").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("ancestors"))
-    none = F.array().cast("array<struct<from:bigint,to:bigint>>")
-    return placed.drop("path").join(found, "node", "left").withColumn("ancestors", F.coalesce("ancestors", none))
+    """Adds node, parent, depth and ancestors: the intervals of the nodes above, merged where they touch.
+
+    Nodes are read in depth-first order, so those above a node are on a stack. What lies above a partition's first
+    node in earlier partitions is looked up by its path: at most one path for each partition.
+    """
+    heads = placed.where("head").select("part", F.explode(F.transform(F.sequence(F.lit(1), F.expr(f"int(octet_length(path) / {_NAME}) - 1")), lambda i: F.col("path").substr(F.lit(1), i * _NAME))).alias("path"))
+    above: dict[int, list[tuple[int, int, int]]] = {}
+    for r in heads.join(placed.select("path", "start", "length"), "path").select("part", F.octet_length("path").alias("n"), "start", "length").collect():
+        above.setdefault(r["part"], []).append((r["n"] // _NAME, r["start"], r["start"] + r["length"]))
+    shared = placed.sparkSession.sparkContext.broadcast({p: sorted(x) for p, x in above.items()})
+    names = ["tree", "start", "length", "n_convs", "position", "ids", "loss_from", "loss_to"]
+    kinds = dict(placed.dtypes)
+
+    def run(batches):
+        stack: list[tuple[int, list]] | None = None  # depth, and the intervals down to that node
+        for b in batches:
+            nodes, parents, depths, ancestors = [], [], [], []
+            for path, start, n, part in zip(*(b[c].to_pylist() for c in ("path", "start", "length", "part"))):
+                if stack is None:
+                    stack, spans = [], []
+                    for d, x, y in shared.value.get(part, ()):
+                        spans = _merged(spans, (x, y))
+                        stack.append((d, spans))
+                depth = len(path) // _NAME
+                while stack and stack[-1][0] >= depth:
+                    stack.pop()
+                own = stack[-1][1] if depth > 1 else []
+                stack.append((depth, _merged(own, (start, start + n))))
+                nodes.append(path[-_NAME:])
+                parents.append(path[-2 * _NAME : -_NAME] or None)
+                depths.append(depth - 1)
+                ancestors.append([{"from": x, "to": y} for x, y in own])
+            more = [pa.array(nodes, pa.binary()), pa.array(parents, pa.binary()), pa.array(depths, pa.int32()), pa.array(ancestors, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))]
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in names), *more], [*names, "node", "parent", "depth", "ancestors"])
+
+    return placed.select(*names, "path", "part").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names) + ", node binary, parent binary, depth int, ancestors array<struct<from:bigint,to:bigint>>")
 
 
 def format_conversations(conversations: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
-    """The packed nodes, and for each conversation its id, number of turns and last node."""
+    """The packed nodes, and for each conversation its id, number of turns and path of nodes."""
     turns = cut(paths(conversations, tokenizer))
-    members = turns.where("last").select("conv_id", "n_turns", F.expr(f"substring(path, -{_NAME})").alias("leaf"))
+    members = turns.where("last").select("conv_id", "n_turns", "path")
     return cut(pack(turns)), members
 
 
 def read_back(packed: DataFrame, members: DataFrame, tokenizer: str) -> DataFrame:
-    """conv_id, formatted and loss_text, from the packed tokens alone: the intervals that a last node attends to, and its own."""
-    leaves = packed.join(members.select(F.col("leaf").alias("node")).distinct(), "node", "left_semi")
-    spans = leaves.select(F.col("node").alias("leaf"), "tree", F.explode(F.concat("ancestors", F.array(F.struct(F.col("start").alias("from"), (F.col("start") + F.col("length")).alias("to"))))).alias("span"))
-    parts = spans.select("leaf", "tree", F.col("span.from").alias("start")).join(packed.select("tree", "start", "position", "ids", "loss_from", "loss_to"), ["tree", "start"])
-    whole = parts.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("position", "start", "ids", "loss_from", "loss_to"))).alias("parts"))
+    """conv_id, formatted and loss_text, from the packed tokens: those of a path's nodes, in order of position.
+
+    That these are what the last node attends to is checked on the way.
+    """
+    ups = F.transform(F.sequence(F.lit(0), F.expr(f"int(octet_length(path) / {_NAME}) - 1")), lambda i: F.col("path").substr(i * _NAME + 1, F.lit(_NAME)))
+    wanted = members.select("path").distinct().select("path", F.explode(ups).alias("node"))
+    last = F.expr(f"substring(path, -{_NAME})") == F.col("node")
+    parts = wanted.join(packed.select("node", "start", "length", "position", "ids", "loss_from", "loss_to", "ancestors"), "node")
+    whole = parts.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("position", "start", "length", "ids", "loss_from", "loss_to", F.when(last, F.col("ancestors")).alias("ancestors")))).alias("parts"))
 
     def run(batches):
         decode = Encoder.of(tokenizer).decode
         for b in batches:
             full, loss = [], []
             for nodes in b["parts"].to_pylist():
+                spans: list[tuple[int, int]] = []
+                for x in nodes[:-1]:
+                    spans = _merged(spans, (x["start"], x["start"] + x["length"]))
+                if [(a["from"], a["to"]) for a in nodes[-1]["ancestors"]] != spans:
+                    raise ValueError("a node's intervals are not those of the nodes above it")
                 full.append(decode(b"".join(x["ids"] for x in nodes)))
                 loss.append("".join(unescape(decode(x["ids"][4 * x["loss_from"] : 4 * x["loss_to"]])) for x in nodes if x["loss_to"] > x["loss_from"]))
-            yield pa.RecordBatch.from_arrays([b["leaf"], pa.array(full, pa.string()), pa.array(loss, pa.string())], ["leaf", "formatted", "loss_text"])
+            yield pa.RecordBatch.from_arrays([b["path"], pa.array(full, pa.string()), pa.array(loss, pa.string())], ["path", "formatted", "loss_text"])
 
-    return members.join(whole.mapInArrow(run, "leaf binary, formatted string, loss_text string"), "leaf").drop("leaf")
+    return members.join(whole.mapInArrow(run, "path binary, formatted string, loss_text string"), "path").drop("path")
 
 
 def digest(texts: DataFrame) -> DataFrame:

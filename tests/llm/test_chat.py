@@ -57,7 +57,7 @@ def test_round_trip_and_intervals(spark):
         for n in t:  # gapless, and every node after its ancestors
             assert n.start == at and n.length == len(n.ids) // 4
             at += n.length
-            assert len(n.ancestors) == n.depth and all(a["to"] <= n.start for a in n.ancestors)
+            assert all(a["to"] <= n.start for a in n.ancestors) and all(a["to"] < b["from"] for a, b in zip(n.ancestors, n.ancestors[1:]))
             assert n.position == sum(a["to"] - a["from"] for a in n.ancestors)
 
 
@@ -68,8 +68,11 @@ def test_trees_cross_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        packed, _ = chat.format_conversations(df, PATH)
-        nodes = sorted((n.start, n.length) for n in packed.collect())
+        packed, members = chat.format_conversations(df, PATH)
+        rows = packed.collect()
+        nodes = sorted((n.start, n.length) for n in rows)
+        assert chat.read_back(packed, members, PATH).count() == 300
+        assert all(n.position == sum(a["to"] - a["from"] for a in n.ancestors) for n in rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
