@@ -3,11 +3,16 @@ the aligned blocks.
 
 Each line is hashed after trimming. For every line that several documents hold, each holder is paired with the first
 holder (the least doc_id) alone, so a line in n documents gives n - 1 links, however many share it: rare lines and very
-common ones are handled alike, and no group's pairs are made. The lines that a later document shares with one first
-holder meet with their places in both; patience diff aligns them (lines that occur once in both are anchors, of which
-the longest rising run is kept; between anchors it starts over, and equal neighbours extend a match). Aligned lines
-that follow each other in both documents are a block; blocks of at least ``min_words`` words are deleted from the later
-document, so that short lines two documents share by chance stay.
+common ones are handled alike, and no group's pairs are made. Such a pair meets with the lines that have this first
+holder. Beyond that each document has up to four partners: of the first holders of its single lines, of its runs of two
+and of four lines, and of its whole sequence of lines, the one with the rarest of them. With a partner it meets with all
+lines that both hold; so an exact copy meets its original whole, however frequent its lines are.
+
+Patience diff aligns the lines of a pair (lines that occur once in both are anchors, of which the longest rising run is
+kept; between anchors it starts over, and equal neighbours extend a match). Aligned lines that follow each other in
+both documents are a block. Blocks of at least ``min_words`` words are deleted from the later document, and so are lines
+aligned with partners where, next to each other or to such blocks, they come to as many words; other short lines that
+two documents share by chance stay. Places count the lines that are not blank, so blank lines end no block.
 
 Defined results: null texts stay null and have no lines; a document whose lines all go keeps its row with an empty
 text; rows that repeat a doc_id are one document, and a line goes from each of them that has it in that place; rows
@@ -26,6 +31,9 @@ from pyspark.sql import functions as F
 from lawloom.llm.common import cut, utf8
 
 MIN_WORDS = 8
+#: Lines of the runs that find partners, and the kind of a whole document.
+RUNS = (2, 4)
+WHOLE = 9
 
 
 def _hash(line: bytes) -> int:
@@ -33,6 +41,10 @@ def _hash(line: bytes) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def _not_blank(text: bytes) -> list[bytes]:
+    return [x for line in text.split(b"\n") if (x := line.strip())]
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """h, doc_id, at (places of the line), words: a row for each distinct line of a document that is not blank."""
 
@@ -41,17 +53,37 @@ def lines(docs: DataFrame) -> DataFrame:
             out = ([], [], [], [])
             for doc, text in zip(b["doc_id"].to_pylist(), utf8(b["text"])):
                 found: dict[bytes, list[int]] = {}
-                for at, line in enumerate(text.split(b"\n")):
-                    line = line.strip()
-                    if line:
-                        found.setdefault(line, []).append(at)
+                for at, line in enumerate(_not_blank(text)):
+                    found.setdefault(line, []).append(at)
                 for line, at in found.items():
                     for column, x in zip(out, (_hash(line), doc, at, len(line.split()))):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32()))], ["h", "doc_id", "at", "words"])
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    return some.mapInArrow(run, "h long, doc_id long, at array<int>, words int")
+    return _texts(docs).mapInArrow(run, "h long, doc_id long, at array<int>, words int")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+
+
+def runs(docs: DataFrame) -> DataFrame:
+    """h, doc_id, kind: a row for each distinct run of RUNS lines of a document, and for all its lines (WHOLE)."""
+
+    def run(batches):
+        for b in batches:
+            out = ([], [], [])
+            for doc, text in zip(b["doc_id"].to_pylist(), utf8(b["text"])):
+                own = _not_blank(text)
+                found = {(n, b"\n".join(own[i : i + n])) for n in RUNS for i in range(len(own) - n + 1)}
+                if own:
+                    found.add((WHOLE, b"\n".join(own)))
+                for kind, x in found:
+                    for column, y in zip(out, (_hash(x), doc, kind)):
+                        column.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32()))], ["h", "doc_id", "kind"])
+
+    return _texts(docs).mapInArrow(run, "h long, doc_id long, kind int")
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -130,23 +162,79 @@ def common_blocks(shared: list[dict], min_words: int) -> list[tuple[int, int]]:
     return out
 
 
+def long_enough(found: list[dict], min_words: int) -> list[dict]:
+    """Of a document's aligned lines (at, h, words) those in places that, next to each other, have enough words."""
+    words: dict[int, int] = {}
+    for f in found:
+        words[f["at"]] = max(words.get(f["at"], 0), f["words"])
+    good: set[int] = set()
+    block: list[int] = []
+    for p in [*sorted(words), -9]:
+        if block and p != block[-1] + 1:
+            if sum(words[x] for x in block) >= min_words:
+                good.update(block)
+            block = []
+        block.append(p)
+    return [{"at": p, "h": h} for p, h in sorted({(f["at"], f["h"]) for f in found}) if p in good]
+
+
+def partners(singles: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, first: of the first holders by each kind of run, the one of the rarest, then of the most runs."""
+    known = runs(docs)
+    held = known.groupBy("h", "kind").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first <> last").drop("last")
+    by = known.join(held, ["h", "kind"]).select("doc_id", "first", "kind", "n").unionByName(singles.select("doc_id", "first", F.lit(1).alias("kind"), "n"))
+    score = by.where("doc_id <> first").groupBy("doc_id", "kind", "first").agg(F.struct((-F.min("n")).alias("rare"), F.count("*").alias("runs"), (-F.col("first")).alias("early")).alias("score"))
+    return score.groupBy("doc_id", "kind").agg(F.max_by("first", "score").alias("first")).select("doc_id", "first").distinct()
+
+
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, gone: places and hashes of the lines that a document loses."""
     all_lines = lines(docs)
-    shared = cut(all_lines.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").drop("last"))
+    shared = cut(all_lines.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first <> last").drop("last"))
     repeated = cut(all_lines.join(shared, "h"))
+    places = F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("first_at")
     # a table of its own, so that a line many documents hold can be dealt over many tasks in the join
-    firsts = cut(repeated.where("doc_id = first").groupBy("h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("first_at")))
-    pairs = repeated.where("doc_id <> first").join(firsts, "h")
-    met = pairs.groupBy("doc_id", "first").agg(F.collect_list(F.struct("h", "words", F.col("at").alias("later"), F.col("first_at").alias("first"))).alias("shared"))
+    firsts = cut(repeated.where("doc_id = first").groupBy("h").agg(places))
+    columns = ["doc_id", "first", "whole", "h", "words", "at", "first_at"]
+    pairs = repeated.where("doc_id <> first").join(firsts, "h").withColumn("whole", F.lit(False)).select(columns)
+    chosen = cut(partners(repeated, docs))
+    theirs = repeated.join(chosen.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("first"), "h").agg(places)
+    mine = repeated.select("doc_id", "h", "words", "at").join(chosen, "doc_id")
+    pairs = pairs.unionByName(mine.join(theirs, ["first", "h"]).withColumn("whole", F.lit(True)).select(columns))
+    met = pairs.groupBy("doc_id", "first", "whole").agg(F.collect_list(F.struct("h", "words", F.col("at").alias("later"), F.col("first_at").alias("first"))).alias("shared"))
+    place = pa.struct([("at", pa.int32()), ("h", pa.int64())])
+    counted = pa.struct([*place, ("words", pa.int32())])
 
-    def run(batches):
+    def align(batches):
+        for b in batches:
+            found = []
+            for s, whole in zip(b["shared"].to_pylist(), b["whole"].to_pylist()):
+                words = {x["h"]: x["words"] for x in s}
+                found.append([{"at": p, "h": h, "words": words[h]} for p, h in common_blocks(s, 0 if whole else min_words)])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(found, pa.list_(counted))], ["doc_id", "found"])
+
+    def settle(batches):
         for b in batches:
-            gone = [[{"at": p, "h": h} for p, h in common_blocks(s, min_words)] for s in b["shared"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(gone, pa.list_(pa.struct([("at", pa.int32()), ("h", pa.int64())])))], ["doc_id", "gone"])
+            gone = [long_enough(f, min_words) for f in b["found"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(gone, pa.list_(place))], ["doc_id", "gone"])
 
-    found = met.mapInArrow(run, "doc_id long, gone array<struct<at:int,h:bigint>>").where("size(gone) > 0")
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    found = met.mapInArrow(align, "doc_id long, found array<struct<at:int,h:bigint,words:int>>").where("size(found) > 0")
+    every = found.groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("found"))
+    return every.mapInArrow(settle, "doc_id long, gone array<struct<at:int,h:bigint>>").where("size(gone) > 0")
+
+
+def _without(own: list[bytes], drop: set[tuple[int, int]]) -> list[bytes]:
+    """The lines but those at the places, of lines that are not blank, and with the hashes given; none if only blank ones are left."""
+    at = {p for p, _ in drop}
+    kept, p, left = [], -1, False
+    for x in own:
+        line = x.strip()
+        p += bool(line)
+        if line and p in at and (p, _hash(line)) in drop:
+            continue
+        left |= bool(line)
+        kept.append(x)
+    return kept if left else []
 
 
 def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
@@ -163,8 +251,7 @@ def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, counts: bool = F
             for text, gone in zip(utf8(b["text"]), b["__gone"].to_pylist()):
                 own = text.split(b"\n") if text is not None else []
                 drop = {(g["at"], g["h"]) for g in gone or ()}
-                at = {p for p, _ in drop}
-                kept = [x for p, x in enumerate(own) if p not in at or (p, _hash(x.strip())) not in drop] if drop else own
+                kept = _without(own, drop) if drop else own
                 texts.append(text if text is None or len(kept) == len(own) else b"\n".join(kept))
                 n_lines.append(len(own))
                 n_deleted.append(len(own) - len(kept))

@@ -46,3 +46,12 @@ def test_counts_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c d e f g h\nx"), (2, "a b c d e f g h\ny")], "doc_id long, text string")
     assert sorted((r.doc_id, r.n_lines, r.n_deleted) for r in ld.dedup_lines(df, counts=True).collect()) == [(1, 2, 0), (2, 2, 1)]
     assert ld.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_an_exact_copy_of_lines_with_other_first_holders_goes(spark):
+    own = [f"just {a} words" for a in "abcdef"]
+    rows = [(i, f"{x}\nonly here {i}", 0, "") for i, x in enumerate(own)]
+    rows += [(20, "\n".join(own[::2]) + "\n\n" + "\n".join(own[1::2]), 0, ""), (21, "\n".join(own[::2]) + "\n\n" + "\n".join(own[1::2]), 0, ""), (22, "a start\n" + "\n".join(own[::2]) + "\nan end", 0, ""), (23, own[5] + "\n" + own[0] + "\nno more", 0, "")]
+    got = {d: t for d, t, _ in run(spark, rows)}
+    assert got[20] == rows[6][1] and got[21] == "" and got[22] == "a start\nan end"
+    assert got[23] == rows[9][1]  # six words: too short
