@@ -4,10 +4,12 @@ A bidirectional window network, written in numpy, predicts every token from the
 position-wise embeddings of the window are added, squashed by tanh and mapped to a two-level softmax (class, then member
 of the class). A document's score is the sum over its tokens of log P(token | both sides).
 
-The vocabulary is the most frequent words of the whole corpus (a shuffle of partial counts) and hashed buckets for all
-others. Training covers every document once, in rounds: each task trains its own copy on its documents of the round,
-the copies meet in a tree of averages weighted by tokens, and the next round starts from there. So what is gathered
-grows with the corpus, while no task holds more than one network and one batch of documents.
+The network's outputs are the most frequent words of the whole corpus (a shuffle of partial counts) and hashed buckets
+for all others; a word in a bucket adds log P(word | bucket), by the counts of all words of the corpus, to the network's
+log P(bucket | both sides). Those counts are as many as the corpus has words; they meet the texts in a shuffle and are
+never gathered. Training covers every document once, in rounds: each task trains its own copy on its documents of the round,
+the copies meet in a tree of averages weighted by tokens, and the next round starts from there. No task holds more than
+one network and one batch of documents.
 
 Defined results: null and empty texts have no tokens, a log-probability of 0 and a mean of 0; with an empty corpus
 there is nothing to score; repeated rows are scored each time; other columns are left alone.
@@ -17,14 +19,16 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import utf8
+from lawloom.llm.common import cut, utf8
 
 CLASSES = MEMBERS = 32
 BUCKETS = 128
@@ -44,8 +48,8 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
-    """Ids of the most frequent words, from counts over all texts; ties go to the smaller word."""
+def counts(docs: DataFrame) -> DataFrame:
+    """word, n: how often each word occurs in all texts."""
 
     def run(batches):
         counts: dict[bytes, int] = {}
@@ -64,11 +68,40 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
         if counts:
             yield out()
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return cut(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(counted: DataFrame) -> dict[bytes, int]:
+    """Ids of the most frequent words; ties go to the smaller word."""
     top = counted.orderBy(F.desc("n"), "word").limit(_V - BUCKETS).collect()
     return {bytes(r["word"]): i for i, r in enumerate(top)}
 
 
+def in_buckets(docs: DataFrame, counted: DataFrame, vocab: dict[bytes, int]) -> DataFrame:
+    """key (hash of a text), within: log P(word | bucket), summed over the text's words in buckets, if it has any."""
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(vocab)
+    top = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in vocab], "word binary"))
+    others = counted.join(top, "word", "left_anti").select(F.xxhash64("word").alias("h"), "n", (F.crc32("word") % BUCKETS).alias("bucket"))
+    total = F.broadcast(others.groupBy("bucket").agg(F.sum("n").alias("of")))
+    each = others.join(total, "bucket").select("h", F.log(F.col("n") / F.col("of")).alias("log_p"))
+
+    def run(batches):
+        seen = known.value
+        for b in batches:
+            own = [Counter(w for w in words_of(t) if w not in seen) for t in utf8(b["text"])]
+            size = np.array([len(c) for c in own], np.int64)
+            h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for c in own for w in c), np.uint64, int(size.sum())).view(np.int64)
+            n = np.fromiter((x for c in own for x in c.values()), np.int32, len(h))
+            key = np.repeat(b["key"].to_numpy(zero_copy_only=False), size)
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(h), pa.array(n), pa.array(np.repeat(size, size).astype(np.int32))], ["key", "h", "n", "size"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select(F.xxhash64("text").alias("key"), "text")
+    rows = texts.mapInArrow(run, "key long, h long, n int, size int").join(each, "h")
+    # equal texts have one key: their rows come once for each of them
+    return rows.groupBy("key").agg((F.sum(F.col("n") * F.col("log_p")) * F.max("size") / F.count("*")).alias("within"))
+
+
 def ids_of(text: bytes | None, vocab: dict[bytes, int]) -> np.ndarray:
     get, first = vocab.get, _V - BUCKETS
     return np.array([i if (i := get(w, -1)) >= 0 else first + zlib.crc32(w) % BUCKETS for w in words_of(text)], np.int64)
@@ -221,7 +254,7 @@ def _add(a, b):
 
 
 def score(docs: DataFrame, net: Net, vocab: dict[bytes, int]) -> DataFrame:
-    """doc_id, n_tokens, log_prob (summed) and mean_log_prob."""
+    """doc_id, key (hash of the text), n_tokens and log_prob, the network's sum."""
     sc = docs.sparkSession.sparkContext
     words, flat = sc.broadcast(vocab), sc.broadcast(net.flat())
 
@@ -235,12 +268,16 @@ def score(docs: DataFrame, net: Net, vocab: dict[bytes, int]) -> DataFrame:
                 ends = np.cumsum(sizes)
                 n += sizes.tolist()
                 total += (log_p[ends] - log_p[ends - sizes]).tolist()
-            mean = [t / k if k else 0.0 for t, k in zip(total, n)]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["key"], pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "key", "n_tokens", "log_prob"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("key", F.xxhash64("text")).mapInArrow(run, "doc_id long, key long, n_tokens long, log_prob double")
 
 
 def score_corpus(docs: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
-    vocab = vocabulary(docs)
-    return score(docs, train(docs, vocab, rounds=rounds), vocab)
+    """doc_id, n_tokens, log_prob (summed) and mean_log_prob."""
+    counted = counts(docs)
+    vocab = vocabulary(counted)
+    scored = score(docs, train(docs, vocab, rounds=rounds), vocab).join(in_buckets(docs, counted, vocab), "key", "left")
+    whole = scored.select("doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("within", F.lit(0.0))).alias("log_prob"))
+    return whole.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).otherwise(0.0))

@@ -98,3 +98,20 @@ def test_network_sums_to_one_and_its_step_is_the_gradient():
         start.c[i] += by
         moved.append(start.log_p(w, s).mean())
     assert abs(step[i] / 0.01 + (moved[0] - moved[1]) / 2e-2) < 1e-2
+
+
+def test_words_of_a_bucket_are_told_apart(spark):
+    common = [f"c{i}" for i in range(lm._V - lm.BUCKETS)]
+    rare = [f"r{i}é" for i in range(2000)]
+    texts = [" ".join(common)] * 20 + [" ".join(rare[: 2000 // 2 ** (i % 4)]) for i in range(9)] + [None, "c1 c2"]
+    d = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate(texts)], DOCS).repartition(3)
+    counted = lm.counts(d)
+    vocab = lm.vocabulary(counted)
+    n = {bytes(r.word): r.n for r in counted.collect()}
+    bucket = lambda w: lm.zlib.crc32(w) % lm.BUCKETS
+    of = [sum(k for w, k in n.items() if w not in vocab and bucket(w) == b) for b in range(lm.BUCKETS)]
+    want = [sum(np.log(n[w] / of[bucket(w)]) for w in lm.words_of((t or "").encode()) if w not in vocab) for t in texts]
+    net = {r.doc_id: r.log_prob for r in lm.score(d, lm.train(d, vocab), vocab).collect()}
+    got = {r.doc_id: r for r in lm.score_corpus(d).collect()}
+    assert len(got) == len(texts) and want[20] < -1 and want[0] == 0
+    assert all(abs(got[i].log_prob - net[i] - want[i]) < 0.05 + 1e-4 * abs(want[i]) for i in got)
