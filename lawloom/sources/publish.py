@@ -138,9 +138,16 @@ _PKG = "http://schemas.openxmlformats.org/package/2006"
 
 
 def write_workbook(path: str, header: list[str], rows) -> None:
-    """One sheet of text cells. Meant for one volume's table, whose size a workbook bounds."""
+    """One sheet of text cells. Meant for one volume's table, whose size a workbook bounds.
+
+    A cell holds 32,000 characters; a longer text goes on in the same column of further rows, empty but for such texts."""
     def cells(row) -> str:
-        return "".join("<c/>" if x is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(x)[:32000])}</t></is></c>' for x in row)
+        return "".join("<c/>" if x is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(x)}</t></is></c>' for x in row)
+
+    def parts(row):
+        text = [None if x is None else str(x) for x in row]
+        for at in range(0, max((len(x) for x in text if x), default=1), 32000):
+            yield [x if x is None or not at and not x else x[at : at + 32000] or None for x in text]
 
     tmp = f"{path}.tmp"
     with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
@@ -151,6 +158,7 @@ def write_workbook(path: str, header: list[str], rows) -> None:
         with z.open("xl/worksheets/sheet1.xml", "w") as f:
             f.write(f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>'.encode())
             for row in (header, *rows):
-                f.write(f"<row>{cells(row)}</row>".encode())
+                for part in parts(row):
+                    f.write(f"<row>{cells(part)}</row>".encode())
             f.write(b"</sheetData></worksheet>")
     os.replace(tmp, path)
