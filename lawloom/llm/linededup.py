@@ -1,22 +1,23 @@
-"""Line dedup by pairwise alignment: shared lines find the documents, patience diff aligns them, the later one loses
+"""Line dedup by pairwise alignment: rare line hashes find the documents, patience diff aligns them, the later one loses
 the aligned blocks.
 
-Each line is hashed after trimming. For every line that several documents hold, each holder is paired with the first
-holder (the least doc_id) alone, so a line in n documents gives n - 1 links, however many share it: rare lines and very
-common ones are handled alike, and no group's pairs are made. Such a pair meets with the lines that have this first
-holder. Beyond that each document has up to four partners: of the first holders of its single lines, of its runs of two
-and of four lines, and of its whole sequence of lines, the one with the rarest of them. With a partner it meets with all
-lines that both hold; so an exact copy meets its original whole, however frequent its lines are.
-
-Patience diff aligns the lines of a pair (lines that occur once in both are anchors, of which the longest rising run is
-kept; between anchors it starts over, and equal neighbours extend a match). Aligned lines that follow each other in
-both documents are a block. Blocks of at least ``min_words`` words are deleted from the later document, and so are lines
-aligned with partners where, next to each other or to such blocks, they come to as many words; other short lines that
-two documents share by chance stay. Places count the lines that are not blank, so blank lines end no block.
-
-Defined results: null texts stay null and have no lines; a document whose lines all go keeps its row with an empty
-text; rows that repeat a doc_id are one document, and a line goes from each of them that has it in that place; rows
-with a null doc_id are left alone; all columns stay as they were but ``text`` and, where there is one, ``n_chars``.
+Lines are compared after trimming, and blank ones do not count. A line alone is often common, so for every line of a
+document the shortest runs of lines that begin or end there and come to ``min_words`` words or more are hashed; a line of
+so many words is a run of its own. Any block of so many words that two documents have in common consists of such runs.
+Each document that holds a run is paired with the first holder of that run (the least doc_id) alone: a run in n documents
+gives n - 1 links, however many share it, and a document may have as many partners as it has runs.
+
+The runs that a pair has met by are aligned with a patience diff: runs that occur once in both documents are anchors, of
+which the longest rising chain is kept, and equal neighbours extend a match. Between anchors it starts over; where no
+run occurs once in both, the first places of each stand for it. What stays unaligned, as blocks that changed their order
+do, is aligned again with the whole earlier document, so that in the end every shared run is. The later document loses
+the aligned lines: these are exactly the lines in blocks of ``min_words`` words or more that an earlier document has.
+
+Defined results: null texts stay null and have no lines; an empty table gives none; a text of any length is read whole;
+of several holders the least doc_id is the first; a document whose lines all go keeps its row with an empty text; rows
+that repeat a doc_id are one document, which loses nothing to itself, and a run goes from each of them that has it in
+that place; rows with a null doc_id are left alone; all columns stay as they were but ``text`` and, where there is one,
+``n_chars`` (``n_lines`` and ``n_deleted`` too, where counts are asked for); no name of a column can clash.
 """
 
 from __future__ import annotations
@@ -27,63 +28,67 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lawloom.llm.common import cut, utf8
+from lawloom.llm.common import cut, fresh, utf8
 
 MIN_WORDS = 8
-#: Lines of the runs that find partners, and the kind of a whole document.
-RUNS = (2, 4)
-WHOLE = 9
+#: Alignments of a pair with a patience diff; runs that are out of order even then are aligned one by one.
+PASSES = 16
 
 
-def _hash(line: bytes) -> int:
-    h = xxhash.xxh64_intdigest(line)
-    return h - (1 << 64) if h >= 1 << 63 else h
+def _hash(lines: list[bytes]) -> tuple[int, int]:
+    """96 bits of a run: a signed long and a signed int."""
+    h = xxhash.xxh3_128_intdigest(b"\n".join(lines))
+    return (h & (1 << 64) - 1) - (1 << 63), (h >> 64 & (1 << 32) - 1) - (1 << 31)
 
 
 def _not_blank(text: bytes) -> list[bytes]:
     return [x for line in text.split(b"\n") if (x := line.strip())]
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """h, doc_id, at (places of the line), words: a row for each distinct line of a document that is not blank."""
-
-    def run(batches):
-        for b in batches:
-            out = ([], [], [], [])
-            for doc, text in zip(b["doc_id"].to_pylist(), utf8(b["text"])):
-                found: dict[bytes, list[int]] = {}
-                for at, line in enumerate(_not_blank(text)):
-                    found.setdefault(line, []).append(at)
-                for line, at in found.items():
-                    for column, x in zip(out, (_hash(line), doc, at, len(line.split()))):
-                        column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32()))], ["h", "doc_id", "at", "words"])
-
-    return _texts(docs).mapInArrow(run, "h long, doc_id long, at array<int>, words int")
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+def spans(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of enough words from each line and up to each line."""
+    out: set[tuple[int, int]] = set()
+    end = total = 0
+    for start, n in enumerate(words):
+        while total < min_words and end < len(words):
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        out.add((start, end))
+        total -= n
+    start, total = len(words), 0
+    for end in range(len(words), 0, -1):
+        while total < min_words and start:
+            start -= 1
+            total += words[start]
+        if total < min_words:
+            break
+        out.add((start, end))
+        total -= words[end - 1]
+    return sorted(out)
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """h, doc_id, kind: a row for each distinct run of RUNS lines of a document, and for all its lines (WHOLE)."""
+def runs(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
+    """h, c (hash of a run), doc_id, n (its lines), at (places of its first line): a row for each distinct run."""
 
     def run(batches):
         for b in batches:
-            out = ([], [], [])
+            out = ([], [], [], [], [])
             for doc, text in zip(b["doc_id"].to_pylist(), utf8(b["text"])):
                 own = _not_blank(text)
-                found = {(n, b"\n".join(own[i : i + n])) for n in RUNS for i in range(len(own) - n + 1)}
-                if own:
-                    found.add((WHOLE, b"\n".join(own)))
-                for kind, x in found:
-                    for column, y in zip(out, (_hash(x), doc, kind)):
-                        column.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32()))], ["h", "doc_id", "kind"])
+                found: dict[tuple, list[int]] = {}
+                for at, end in spans([len(x.split()) for x in own], min_words):
+                    found.setdefault((*_hash(own[at:end]), end - at), []).append(at)
+                for (h, c, n), at in found.items():
+                    for column, x in zip(out, (h, c, doc, n, at)):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32())))], ["h", "c", "doc_id", "n", "at"])
 
-    return _texts(docs).mapInArrow(run, "h long, doc_id long, kind int")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.where("doc_id is not null and text is not null").mapInArrow(run, "h long, c int, doc_id long, n int, at array<int>")
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -106,163 +111,114 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: dict[int, int], b: dict[int, int]) -> list[tuple[int, int]]:
-    """Aligned places of two documents, given the shared lines in each: place -> hash."""
+def patience(a: list, b: list) -> list[tuple[int, int]]:
+    """Aligned places of two sequences; at least one pair if they have anything in common."""
     out: list[tuple[int, int]] = []
-    todo = [(sorted(a), sorted(b))]
+    todo = [(0, len(a), 0, len(b))]
     while todo:
-        x, y = todo.pop()
-        least = min(len(x), len(y))
-        n = next((i for i in range(least) if a[x[i]] != b[y[i]]), least)
-        out += zip(x[:n], y[:n])
-        x, y = x[n:], y[n:]
-        least = min(len(x), len(y))
-        n = next((i for i in range(least) if a[x[-1 - i]] != b[y[-1 - i]]), least)
-        if n:
-            out += zip(x[-n:], y[-n:])
-            x, y = x[:-n], y[:-n]
-        if not x or not y:
-            continue
-        in_a, in_b = _once(a, x), _once(b, y)
-        anchors = _rising(sorted((p, in_b[h]) for h, p in in_a.items() if p >= 0 and in_b.get(h, -1) >= 0))
-        if not anchors:
+        i, k, j, m = todo.pop()
+        while i < k and j < m and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < k and j < m and a[k - 1] == b[m - 1]:
+            k, m = k - 1, m - 1
+            out.append((k, m))
+        if i == k or j == m:
             continue
+        in_a, in_b = _places(a, i, k), _places(b, j, m)
+        both = [(p, in_b[x]) for x, p in in_a.items() if x in in_b]
+        once = [(p[0], q[0]) for p, q in both if p[1] == q[1] == 1]
+        anchors = _rising(sorted(once or [(p[0], q[0]) for p, q in both]))
         out += anchors
-        i = j = 0
-        for p, q in [*anchors, (x[-1] + 1, y[-1] + 1)]:
-            k, m = bisect_left(x, p), bisect_left(y, q)
-            todo.append((x[i:k], y[j:m]))
-            i, j = k + 1, m + 1
+        for p, q in [*anchors, (k, m)] if anchors else ():
+            todo.append((i, p, j, q))
+            i, j = p + 1, q + 1
     return sorted(out)
 
 
-def _once(of: dict[int, int], places: list[int]) -> dict[int, int]:
-    """Hash -> its place, -1 if there are several."""
-    out: dict[int, int] = {}
-    for p in places:
-        out[of[p]] = -1 if of[p] in out else p
+def _places(of: list, start: int, end: int) -> dict:
+    """First place and number of each thing."""
+    out: dict = {}
+    for p in range(start, end):
+        was = out.get(of[p])
+        out[of[p]] = (was[0], was[1] + 1) if was else (p, 1)
     return out
 
 
-def common_blocks(shared: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """(place, hash) of the later document's lines in aligned blocks of enough words. shared: h, words, later, first."""
-    a = {p: s["h"] for s in shared for p in s["later"]}
-    b = {p: s["h"] for s in shared for p in s["first"]}
-    words = {s["h"]: s["words"] for s in shared}
+def align(shared: list[dict], passes: int = PASSES) -> list[tuple[int, int]]:
+    """(place, number in ``shared``) of the later document's runs that are aligned. shared: later and first, lists of places."""
+    b = [i for _, _, i in sorted((p, s["n"], i) for i, s in enumerate(shared) for p in s["first"])]
+    left = [(p, i) for p, _, i in sorted((p, s["n"], i) for i, s in enumerate(shared) for p in s["later"])]
     out: list[tuple[int, int]] = []
-    block: list[int] = []
-    was = (-2, -2)
-    for p, q in [*patience(a, b), (-9, -9)]:
-        if (p, q) != (was[0] + 1, was[1] + 1):
-            if sum(words[a[x]] for x in block) >= min_words:
-                out += [(x, a[x]) for x in block]
-            block = []
-        block.append(p)
-        was = p, q
-    return out
-
-
-def long_enough(found: list[dict], min_words: int) -> list[dict]:
-    """Of a document's aligned lines (at, h, words) those in places that, next to each other, have enough words."""
-    words: dict[int, int] = {}
-    for f in found:
-        words[f["at"]] = max(words.get(f["at"], 0), f["words"])
-    good: set[int] = set()
-    block: list[int] = []
-    for p in [*sorted(words), -9]:
-        if block and p != block[-1] + 1:
-            if sum(words[x] for x in block) >= min_words:
-                good.update(block)
-            block = []
-        block.append(p)
-    return [{"at": p, "h": h} for p, h in sorted({(f["at"], f["h"]) for f in found}) if p in good]
-
-
-def partners(singles: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, first: of the first holders by each kind of run, the one of the rarest, then of the most runs."""
-    known = runs(docs)
-    held = known.groupBy("h", "kind").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first <> last").drop("last")
-    by = known.join(held, ["h", "kind"]).select("doc_id", "first", "kind", "n").unionByName(singles.select("doc_id", "first", F.lit(1).alias("kind"), "n"))
-    score = by.where("doc_id <> first").groupBy("doc_id", "kind", "first").agg(F.struct((-F.min("n")).alias("rare"), F.count("*").alias("runs"), (-F.col("first")).alias("early")).alias("score"))
-    return score.groupBy("doc_id", "kind").agg(F.max_by("first", "score").alias("first")).select("doc_id", "first").distinct()
+    for _ in range(passes):
+        met = {p for p, _ in patience([i for _, i in left], b)}
+        out += [x for n, x in enumerate(left) if n in met]
+        left = [x for n, x in enumerate(left) if n not in met]
+        if not left:
+            break
+    return out + left
 
 
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, gone: places and hashes of the lines that a document loses."""
-    all_lines = lines(docs)
-    shared = cut(all_lines.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first <> last").drop("last"))
-    repeated = cut(all_lines.join(shared, "h"))
-    places = F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("first_at")
-    # a table of its own, so that a line many documents hold can be dealt over many tasks in the join
-    firsts = cut(repeated.where("doc_id = first").groupBy("h").agg(places))
-    columns = ["doc_id", "first", "whole", "h", "words", "at", "first_at"]
-    pairs = repeated.where("doc_id <> first").join(firsts, "h").withColumn("whole", F.lit(False)).select(columns)
-    chosen = cut(partners(repeated, docs))
-    theirs = repeated.join(chosen.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("first"), "h").agg(places)
-    mine = repeated.select("doc_id", "h", "words", "at").join(chosen, "doc_id")
-    pairs = pairs.unionByName(mine.join(theirs, ["first", "h"]).withColumn("whole", F.lit(True)).select(columns))
-    met = pairs.groupBy("doc_id", "first", "whole").agg(F.collect_list(F.struct("h", "words", F.col("at").alias("later"), F.col("first_at").alias("first"))).alias("shared"))
-    place = pa.struct([("at", pa.int32()), ("h", pa.int64())])
-    counted = pa.struct([*place, ("words", pa.int32())])
-
-    def align(batches):
-        for b in batches:
-            found = []
-            for s, whole in zip(b["shared"].to_pylist(), b["whole"].to_pylist()):
-                words = {x["h"]: x["words"] for x in s}
-                found.append([{"at": p, "h": h, "words": words[h]} for p, h in common_blocks(s, 0 if whole else min_words)])
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(found, pa.list_(counted))], ["doc_id", "found"])
+    """doc_id, gone: the runs (at, n, h, c) that a document loses."""
+    every = cut(runs(docs, min_words=min_words))
+    shared = cut(every.groupBy("h", "c", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").drop("last"))
+    repeated = cut(every.join(shared, ["h", "c", "n"]))
+    # a table of its own, so that a run many documents hold can be dealt over many tasks in the join
+    firsts = cut(repeated.where("doc_id = first").groupBy("h", "c", "n").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("first_at")))
+    pairs = repeated.where("doc_id <> first").join(firsts, ["h", "c", "n"])
+    met = pairs.groupBy("doc_id", "first").agg(F.collect_list(F.struct("h", "c", "n", F.col("at").alias("later"), F.col("first_at").alias("first"))).alias("shared"))
+    place = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("h", pa.int64()), ("c", pa.int32())])
 
-    def settle(batches):
+    def run(batches):
         for b in batches:
-            gone = [long_enough(f, min_words) for f in b["found"].to_pylist()]
+            gone = [[{"at": p, **{k: s[i][k] for k in ("n", "h", "c")}} for p, i in align(s)] for s in b["shared"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(gone, pa.list_(place))], ["doc_id", "gone"])
 
-    found = met.mapInArrow(align, "doc_id long, found array<struct<at:int,h:bigint,words:int>>").where("size(found) > 0")
-    every = found.groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("found"))
-    return every.mapInArrow(settle, "doc_id long, gone array<struct<at:int,h:bigint>>").where("size(gone) > 0")
+    found = met.mapInArrow(run, "doc_id long, gone array<struct<at:int,n:int,h:bigint,c:int>>")
+    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
 
-def _without(own: list[bytes], drop: set[tuple[int, int]]) -> list[bytes]:
-    """The lines but those at the places, of lines that are not blank, and with the hashes given; none if only blank ones are left."""
-    at = {p for p, _ in drop}
-    kept, p, left = [], -1, False
-    for x in own:
-        line = x.strip()
-        p += bool(line)
-        if line and p in at and (p, _hash(line)) in drop:
-            continue
-        left |= bool(line)
-        kept.append(x)
-    return kept if left else []
+def without(own: list[bytes], gone: list[dict]) -> list[bytes]:
+    """The lines but those of the runs given, which are looked for in their places; none if only blank ones are left."""
+    at = [i for i, x in enumerate(own) if x.strip()]
+    drop: set[int] = set()
+    for g in gone:
+        lines = at[g["at"] : g["at"] + g["n"]]
+        if len(lines) == g["n"] and _hash([own[i].strip() for i in lines]) == (g["h"], g["c"]):
+            drop.update(lines)
+    if not drop:
+        return own
+    return [x for i, x in enumerate(own) if i not in drop] if len(drop) < len(at) else []
 
 
 def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
     """The documents without the blocks that earlier ones have; counts adds n_lines and n_deleted."""
-    names = docs.columns
-    gone = deletions(docs, min_words=min_words).withColumnsRenamed({"doc_id": "__doc", "gone": "__gone"})
-    joined = docs.withColumn("__key", F.col("doc_id").cast("long")).join(gone, F.col("__key") == F.col("__doc"), "left").drop("__key", "__doc")
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    out = {**kinds, **({"n_lines": "bigint", "n_deleted": "bigint"} if counts else {})}
+    key, other, gone = fresh(docs, "key", "other", "gone")
+    lost = deletions(docs, min_words=min_words).toDF(other, gone)
+    joined = docs.withColumn(key, F.col("doc_id").cast("long")).join(lost, F.col(key) == F.col(other), "left").drop(key, other)
+    joined = joined.withColumn("text", F.col("text").cast("string"))
+    fields = {f.name: T.StructField(f.name, f.dataType) for f in joined.schema if f.name != gone}
+    if counts:
+        fields |= {n: T.StructField(n, T.LongType()) for n in ("n_lines", "n_deleted")}
+    whole = isinstance(fields["n_chars"].dataType, T.IntegralType) if "n_chars" in fields else False
 
     def run(batches):
         for b in batches:
             texts, n_lines, n_deleted = [], [], []
-            for text, gone in zip(utf8(b["text"]), b["__gone"].to_pylist()):
+            for text, lost in zip(utf8(b["text"]), b[gone].to_pylist()):
                 own = text.split(b"\n") if text is not None else []
-                drop = {(g["at"], g["h"]) for g in gone or ()}
-                kept = _without(own, drop) if drop else own
-                texts.append(text if text is None or len(kept) == len(own) else b"\n".join(kept))
+                kept = without(own, lost) if lost else own
+                texts.append(text if len(kept) == len(own) else b"\n".join(kept))
                 n_lines.append(len(own))
                 n_deleted.append(len(own) - len(kept))
             columns = dict(zip(b.schema.names, b.columns))
             columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())
-            if kinds.get("n_chars") in ("bigint", "int"):
-                changed = [None if t is None else len(t.decode()) if d else n for t, d, n in zip(texts, n_deleted, columns["n_chars"].to_pylist())]
+            if whole:
+                changed = [len(t.decode()) if d else n for t, d, n in zip(texts, n_deleted, columns["n_chars"].to_pylist())]
                 columns["n_chars"] = pa.array(changed, columns["n_chars"].type)
-            columns |= {"n_lines": pa.array(n_lines, pa.int64()), "n_deleted": pa.array(n_deleted, pa.int64())}
-            yield pa.RecordBatch.from_arrays([columns[n] for n in out], list(out))
+            if counts:
+                columns |= {"n_lines": pa.array(n_lines, pa.int64()), "n_deleted": pa.array(n_deleted, pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[n] for n in fields], list(fields))
 
-    select = joined.select(*(F.col(n) for n in names if n != "text"), F.col("text").cast("string").alias("text"), "__gone")
-    schema = ", ".join(f"`{n}` {'string' if n == 'text' else t}" for n, t in out.items())
-    return select.mapInArrow(run, schema)
+    return joined.mapInArrow(run, T.StructType(list(fields.values())))

@@ -56,4 +56,39 @@ select conv_id, count(*) as n_turns,
 from twice group by conv_id
 """
 
-SQL = {"op2_topk": _OP2, "op4_chat": _OP4, "op1_decontamination": _OP1}
+_OP8 = r"""
+with split as (
+  select doc_id, text, string_split(text, chr(10)) as own from documents
+), flat as (
+  select doc_id, pos, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line
+  from (select doc_id, unnest(own) as x, unnest(range(1, len(own) + 1)) as pos from split where doc_id is not null)
+), placed as (
+  select *, row_number() over (partition by doc_id order by pos) as p, len(regexp_extract_all(line, '[^ \x09-\x0D]+')) as w
+  from flat where line <> ''
+), lists as (
+  select doc_id, list(line order by p) as lines, list(w order by p) as w from placed group by doc_id
+), spans as (
+  select doc_id, lines, i, list_filter(range(i, least(i + 8, len(w) + 1)), lambda j: list_sum(w[i:j]) >= 8)[1] as j
+  from (select *, unnest(range(1, len(w) + 1)) as i from lists)
+  union all
+  select doc_id, lines, list_filter(range(greatest(j - 7, 1), j + 1), lambda i: list_sum(w[i:j]) >= 8)[-1] as i, j
+  from (select *, unnest(range(1, len(w) + 1)) as j from lists)
+), runs as (
+  select doc_id, i, j, array_to_string(lines[i:j], chr(10)) as run from spans where i is not null and j is not null
+), gone as (
+  select distinct doc_id, unnest(range(i, j + 1)) as p
+  from runs join (select run, min(doc_id) as first from runs group by run having min(doc_id) <> max(doc_id)) using (run) where doc_id > first
+), lost as (
+  select doc_id, list(pos) as ats, count(*) as n from placed join gone using (doc_id, p) group by doc_id
+), kept as (
+  select doc_id, text, own, ats, case when n = len(w) then [] else list_filter(own, lambda x, pos: not list_contains(ats, pos)) end as kept
+  from split left join lost using (doc_id) left join lists using (doc_id)
+), made as (
+  select doc_id, coalesce(len(own), 0) as n_lines, coalesce(len(own), 0) - coalesce(len(case when ats is null then own else kept end), 0) as n_deleted,
+    coalesce(case when ats is null then text else coalesce(array_to_string(kept, chr(10)), '') end, '') as clean
+  from kept
+)
+select doc_id, cast(n_lines as bigint) as n_lines, cast(n_deleted as bigint) as n_deleted, cast(length(clean) as bigint) as n_chars, sha256(clean) as text_sha256 from made
+"""
+
+SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8}
