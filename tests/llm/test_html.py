@@ -1,3 +1,5 @@
+import time
+
 from lawloom.llm import html
 
 LONG = "These are the many words of a paragraph that the page is read for, and more of them."
@@ -17,6 +19,48 @@ def test_without_an_article():
     assert html.main_text(page) == f"Head\n{LONG}\nx\n{LONG}"
 
 
+def everything(lines):
+    return {c for t, _, c, w in lines if t and w}
+
+
+def test_ratios_decide():
+    links = "".join(f"<div><a href={i}>{i}</a> <b>x</b> <i>y</i></div>" for i in range(9))
+    page = f"<body><div>{links}</div><div>{f'<p>{LONG}</p>' * 5}<p>end</p></div></body>"
+    assert html.main_text(page) == "\n".join([*[LONG] * 5, "end"])
+    assert html.main_text(page, everything) != html.main_text(page)
+    cards = "".join(f"<article><a href={i}>card {i}</a></article>" for i in range(4))
+    page = f"<body>{cards}<div>{f'<p>{LONG}</p>' * 5}</div></body>"
+    assert html.main_text(page) == "\n".join([LONG] * 5) != html.main_text(page, everything)
+
+
+def test_a_short_section_between_long_ones_stays():
+    part = "<section>" + f"<p>{LONG}</p>" * 5 + "</section>"
+    short = "<section><ul>" + "<li>twenty letters or so</li>" * 6 + "</ul></section>"
+    page = f"<body><nav>x</nav><div>{part}{short}{part}</div></body>"
+    assert html.main_text(page) == "\n".join([*[LONG] * 5, *["twenty letters or so"] * 6, *[LONG] * 5])
+
+
+def test_names_that_say_nothing_delete_nothing():
+    for page in (f'<article class="post has-sidebar"><p>{LONG}</p></article>', f'<div class="content comments-open"><p>{LONG}</p></div>', f'<main><div class="related-work"><p>{LONG}</p></div></main>', f'<div class="comments"><p>{LONG}</p></div>'):
+        assert html.main_text(f"<body><nav>x</nav>{page}</body>") == LONG
+    page = f'<article><header><h1>H</h1></header><p>{LONG}</p><p><math>x = 1</math><svg><text>s</text></svg></p><section class="comment-list"><p>{LONG}</p></section></article>'
+    assert html.main_text(f"<body><header>site</header>{page}</body>") == f"H\n{LONG}\nx = 1s"
+    for name in ("comment-list", "adContainer", "top ad-banner", "site-footer", "cookieNotice", "ad"):
+        assert html.named(name)
+    for name in ("has-sidebar", "comments-open", "related-work", "content", "article", "", "adobe", "header2x-no menuett"):
+        assert not html.named(name), name
+
+
+def test_deep_pages_take_linear_time():
+    n = 100_000
+    began = time.time()
+    assert html.main_text("<div>" + "<b>" * n + "</i>" * n + "x") == "x"
+    assert html.main_text("<p><td>" + "<b>" * n + "<div>" * n + "x") == "x"
+    assert html.main_text("<li>" * n + "x") == "x"
+    assert html.main_text("<div>x" * n) == "\n".join("x" * n)
+    assert time.time() - began < 20
+
+
 def test_broken_and_empty_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<nav>x</nav>") == html.main_text("<div></div>") == ""
     assert html.main_text("just text") == "just text"
