@@ -1,13 +1,15 @@
 """Best-fit packing of token sequences with large-item matching.
 
-Tokens are made where the documents lie, and only lengths, checksums and ids of pieces move. The pieces are dealt
-evenly, row by row, into lots of bounded size, and each lot is packed in one task: pieces above a third of the
-capacity (at most two fit a sequence) are matched greedily, the longest with the longest that still fits; smaller ones
-go, longest first, where they leave the least room. A lot leaves at most one sequence poorly filled, so lots cost next
-to nothing.
-
-Defined results: a null text is empty and gives the end id alone; an empty table gives no piece; repeated documents
-are packed each time.
+Tokens are made where the documents lie; of each piece only its number, length and checksum go on to the packing. The
+pieces, which are counted after cutting, are dealt evenly, row by row, into lots of bounded size, however many pieces a
+document has, and each lot is packed in one task: pieces above a third of the capacity (at most two fit a sequence) are
+matched greedily, the longest with the longest that still fits; smaller ones go, longest first, where they leave the
+least room. A lot leaves at most one sequence poorly filled, so lots cost next to nothing. Ids, if they are wanted, meet
+their places in a join afterwards.
+
+Defined results: a null text is empty and gives the end id alone; an empty table gives no piece; texts of any length are
+cut, never shortened; pieces of equal length go in the order they come; repeated documents are packed each time; other
+columns are left alone.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawloom.llm.common import cut
 from lawloom.llm.tokens import Encoder
 
 CAPACITY = 2048
-#: Pieces that one task packs, about.
+#: Pieces that one task packs, at most; dealing them row by row may add one from each task before.
 LOT = 200_000
+#: Tokens that a task holds before it passes their pieces on.
+HELD = 4_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -38,20 +43,24 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents; with_ids adds ids, the tokens as little-endian unsigned 32-bit numbers."""
     tail = end_id.to_bytes(4, "little")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(batches):
         encode = Encoder.of(tokenizer)
+        rows, held = [[] for _ in names], 0
         for b in batches:
-            rows = ([], [], [], [], [], [])
-            for doc, text in zip(b["doc_id"].to_pylist(), encode.many(b["text"].to_pylist())):
-                ids = text + tail
+            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+                ids = encode.many([text])[0] + tail
                 for n, (at, length) in enumerate(cut_points(len(ids) // 4, capacity)):
                     own = ids[4 * at : 4 * (at + length)]
                     for column, x in zip(rows, (doc, n, at, length, zlib.crc32(own), own)):
                         column.append(x)
-            arrays = [pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays(arrays[: 5 + with_ids], names[: 5 + with_ids])
+                held += len(ids) // 4
+                if held >= HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds)], names)
+                    rows, held = [[] for _ in names], 0
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds)], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES + ", ids binary" * with_ids)
 
@@ -118,9 +127,9 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[
     return of, offset
 
 
-def pack_pieces(cut_docs: DataFrame, *, capacity: int = CAPACITY, lot: int = LOT, rows: int) -> DataFrame:
-    """The pieces with sequence_id and offset. rows: how many pieces there are, about; it sets the number of lots."""
-    lots = max(1, -(-rows // lot))
+def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, lot: int = LOT) -> DataFrame:
+    """The rows, each with a ``length``, with sequence_id and offset. They are read twice, so they should be at rest."""
+    lots = max(1, -(-pieces.count() // lot))
 
     def run(batches):
         own = [b for b in batches if b.num_rows]
@@ -132,11 +141,15 @@ def pack_pieces(cut_docs: DataFrame, *, capacity: int = CAPACITY, lot: int = LOT
         got = got.append_column("sequence_id", pa.array([base + b for b in of], pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
         yield from got.to_batches(max_chunksize=20_000)
 
-    schema = ", ".join(f"{n} {t}" for n, t in cut_docs.dtypes)
-    return cut_docs.repartition(lots).mapInArrow(run, schema + ", sequence_id long, offset long")
+    schema = ", ".join(f"{n} {t}" for n, t in pieces.dtypes)
+    return pieces.repartition(lots).mapInArrow(run, schema + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = 0, lot: int = LOT, with_ids: bool = False) -> DataFrame:
-    """Pieces with their tokens' checksum, sequence and offset."""
-    n = docs.select(F.count("*").alias("n")).first()["n"]
-    return pack_pieces(pieces(docs, tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids), capacity=capacity, lot=lot, rows=2 * n)
+    """Pieces with their tokens' checksum, sequence and offset; with_ids adds ids."""
+    made = pieces(docs, tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids)
+    if not with_ids:
+        return pack_pieces(cut(made), capacity=capacity, lot=lot)
+    made = cut(made.withColumn("row", F.monotonically_increasing_id()))  # numbers at rest: they stay as they are
+    placed = pack_pieces(made.select("row", "length"), capacity=capacity, lot=lot).drop("length")
+    return made.join(placed, "row").drop("row")

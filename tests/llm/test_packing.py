@@ -83,3 +83,44 @@ def test_documents_come_back(spark, lot):
             at += n
         assert at <= 64
     assert packing.pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_lots_are_bounded_by_pieces(spark):
+    df = spark.createDataFrame([(i, "one two three four " * 120) for i in range(50)], "doc_id long, text string").repartition(3)
+    rows = packing.pack_documents(df, PATH, capacity=2, lot=500).collect()
+    assert len(rows) > 50 * 200
+    lots = {}
+    for r in rows:
+        lots[r.sequence_id >> 40] = lots.get(r.sequence_id >> 40, 0) + 1
+    assert max(lots.values()) <= 500 + 3 and len(lots) == -(-len(rows) // 500)
+
+
+def test_few_bins_like_the_best_of_all():
+    def least(lengths, capacity):
+        best = len(lengths)
+
+        def put(i, rooms):
+            nonlocal best
+            if len(rooms) >= best:
+                return
+            if i == len(lengths):
+                best = len(rooms)
+                return
+            for room in {*rooms, capacity}:
+                if room >= lengths[i]:
+                    rest = list(rooms)
+                    if room in rest:
+                        rest.remove(room)
+                    put(i + 1, [*rest, room - lengths[i]])
+
+        put(0, [])
+        return best
+
+    r = random.Random(5)
+    worse = 0
+    for _ in range(150):
+        lengths = [r.randint(1, 20) for _ in range(r.randint(1, 8))]
+        n, best = check(lengths, 20), least(lengths, 20)
+        assert best <= n <= best + 1
+        worse += n > best
+    assert worse <= 15
