@@ -6,8 +6,10 @@ The buckets that tell most about the label are kept, and logistic regression on
 Scoring reads each whole text once and looks only at kept buckets.
 
 The model is fitted on at most ``rows`` labelled rows (samples.ROWS); everything else covers all rows. Defined results:
-null and empty texts get the score of a text without any n-gram; without labels of both kinds every score is the share
-of label 1 (0 if there are no labels); repeated rows are scored each time; other columns are left alone.
+null and empty texts get the score of a text without any n-gram; a text of any length is read whole; an empty table gives
+no rows; without labels of both kinds every score is the share of label 1 (0 if there are no labels); a row without an id
+is not held out; a score equal to the threshold is toxic; repeated rows are scored each time; other columns are left
+alone.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from lawloom.llm.grams import codes, hashed, present, sigmoid
 
 SIZES = (3, 4, 5, 6, 7)
 BITS = 20
-KEPT = 8192
+KEPT = 4096
 THRESHOLD = 0.7
 
 
@@ -77,7 +79,7 @@ def _kept(n: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return ratio.astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where=None, rows: int = samples.ROWS, l2: float = 1e-4, weight: float = 2.5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where=None, rows: int = samples.ROWS, l2: float = 1e-3, weight: float = 10.0) -> Model:
     """weight: how much a toxic row counts against another."""
     sample = samples.labelled(docs, labels, label, rows=rows, where=where)
     n, texts = _counts(sample)
@@ -130,4 +132,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def is_held_out(doc_id="doc_id") -> F.Column:
     """Rows whose labels no model may learn from."""
-    return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
