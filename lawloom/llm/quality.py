@@ -1,18 +1,20 @@
 """Quality: ordinal cumulative-link regression on hashed text.
 
 P(grade <= k) = sigmoid(threshold[k] - score): all grades share the weights of the score and the thresholds rise. A
-text's features are its character 1- to 3-grams after letters and digits have become classes (hashed, as the square
-root of their share), and what part of its words are distinct. The expected grade ranks documents; the probability of
-the upper grades selects them.
-
-The model is fitted on at most ``rows`` labelled rows (samples.ROWS); scoring covers every whole text. Defined results:
-null texts are empty, and empty texts get the score of a text without features; with one grade only, that grade is
-certain; without any labels the expected grade is 0 and every document is kept; repeated rows are scored each time;
-other columns are left alone.
+text's features are its words and its pairs of neighbouring words, whether a pair is one word twice, and character 1- to
+3-grams after letters and digits have become classes; all hashed, each as the square root of its share. The expected
+grade ranks documents; the probability of the upper grades selects them.
+
+The model is fitted on at most ``rows`` labelled rows (ROWS); scoring covers every whole text, of any length, in one
+pass. Defined results: null texts are empty, and empty texts get the score of a text without features; with one grade
+only, that grade is certain; without any labels the expected grade is 0 and every document is kept; an empty table gives
+no rows; a probability equal to ``keep`` stays; repeated rows are scored each time; other columns are left alone.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +25,16 @@ from pyspark.sql import functions as F
 from lawloom.llm import samples
 from lawloom.llm.grams import codes, hashed, sigmoid
 
+#: Labelled rows that the model is fitted on, at most.
+ROWS = 8_000
 BITS = 12
 SIZES = (1, 2, 3)
-COLUMNS = (1 << BITS) + 16
+WORD_BITS = 16
+#: Where words, pairs and repeated words begin.
+_WORDS = 1 << BITS
+_PAIRS = _WORDS + (1 << WORD_BITS)
+_TWICE = _PAIRS + (1 << WORD_BITS)
+COLUMNS = _TWICE + 1
 #: Probability of the upper grades from which a document stays.
 KEEP = 0.4
 
@@ -41,19 +50,22 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
-def features(text: str | None) -> np.ndarray:
-    x = np.zeros(COLUMNS)
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Columns, each once, and their values."""
     if not text:
-        return x
+        return np.zeros(0, np.int64), np.zeros(0)
     c = codes(text)
     h = hashed(np.where(c < len(_CLASS), _CLASS[np.minimum(c, len(_CLASS) - 1)], 97), SIZES, BITS)
-    x[: 1 << BITS] = np.sqrt(np.bincount(h, minlength=1 << BITS) / len(h))
-    words = text.lower().split()
-    if words:
-        # of w words, those that had come before; long texts repeat words by themselves, so stretches of 64 count alone
-        fresh = sum(len(set(words[i : i + 64])) for i in range(0, len(words), 64)) / len(words)
-        x[(1 << BITS) + min(15, int(16 * fresh))] = 1
-    return x
+    n = np.bincount(h, minlength=1 << BITS)
+    at = np.flatnonzero(n)
+    words = text.encode("utf-8", "replace").split()
+    mask, own, pairs = (1 << WORD_BITS) - 1, Counter(words), Counter(zip(words, words[1:]))
+    crc, twice = zlib.crc32, sum(k for (a, b), k in pairs.items() if a == b)
+    columns = [*(_WORDS + (crc(w) & mask) for w in own), *(_PAIRS + (crc(b, crc(a) + 1) & mask) for a, b in pairs), *[_TWICE] * (twice > 0)]
+    # of words in one bucket the counts are added
+    more, place = np.unique(np.array(columns, np.int64), return_inverse=True)
+    share = np.bincount(place, weights=[*own.values(), *pairs.values(), *[twice] * (twice > 0)], minlength=len(more)) / max(1, len(words))
+    return np.r_[at, more], np.sqrt(np.r_[n[at] / len(h), share])
 
 
 @dataclass
@@ -67,22 +79,22 @@ class Model:
         """Expected grade, and the probability of a grade of at least ``cut``."""
         if not len(self.grades):
             return 0.0, 1.0
-        up = sigmoid(features(text) @ self.weight - self.thresholds)  # P(grade > k)
+        at, value = features(text)
+        up = sigmoid(self.weight[at] @ value - self.thresholds)  # P(grade > k)
         at_least = np.r_[1.0, up]
         p = at_least - np.r_[up, 0.0]
         k = int(np.searchsorted(self.grades, self.cut))
         return float(p @ self.grades), float(at_least[k]) if k < len(self.grades) else 0.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", cut: int = 1, where=None, rows: int = samples.ROWS, l2: float = 1e-5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", cut: int = 1, where=None, rows: int = ROWS, l2: float = 1e-4) -> Model:
     def run(batches):
         for b in batches:
             at, value = [], []
             for t in b["text"].to_pylist():
-                x = features(t)
-                i = np.flatnonzero(x)
-                at.append(i.astype("<i2").tobytes())
-                value.append(x[i].astype("<f4").tobytes())
+                i, x = features(t)
+                at.append(i.astype("<i4").tobytes())
+                value.append(x.astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["y"], pa.array(at, pa.binary()), pa.array(value, pa.binary())], ["doc_id", "y", "at", "value"])
 
     sample = samples.labelled(docs, labels, label, rows=rows, where=where).select("doc_id", "y", "text")
@@ -91,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", cut: int
     steps = len(grades) - 1
     if steps < 1:
         return Model(np.zeros(COLUMNS), np.zeros(0), grades, cut)
-    x = samples.Rows([np.frombuffer(r[2], "<i2") for r in got], [np.frombuffer(r[3], "<f4") for r in got])
+    x = samples.Rows([np.frombuffer(r[2], "<i4") for r in got], [np.frombuffer(r[3], "<f4") for r in got])
     k = np.searchsorted(grades, [r[1] for r in got])
     share = np.clip(np.cumsum(np.bincount(k, minlength=steps + 1))[:-1] / len(k), 1e-6, 1 - 1e-6)
     first = np.log(share / (1 - share))
@@ -112,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", cut: int
         g[COLUMNS:] = np.r_[later[0], later[1:] * np.exp(p[COLUMNS + 1 :])]
         return g
 
-    p = samples.adam(start, gradient, steps=400)
+    p = samples.adam(start, gradient, steps=300)
     return Model(p[:COLUMNS], thresholds(p), grades, cut)
 
 

@@ -33,12 +33,15 @@ class Rows:
 
     def __init__(self, at: list[np.ndarray], value: list[np.ndarray]):
         self.n = len(at)
-        self.of = np.repeat(np.arange(self.n), [len(x) for x in at])
+        sizes = np.array([len(x) for x in at], np.int64)
+        self.of = np.repeat(np.arange(self.n), sizes)
+        self.first, self.some = np.cumsum(sizes) - sizes, sizes > 0
         self.at = np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int64)
         self.value = np.concatenate([np.zeros(0), *value]).astype(np.float64)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.of, weights=w[self.at] * self.value, minlength=self.n)
+        # a zero behind the entries, so that a row without any begins at a place
+        return np.add.reduceat(np.append(w[self.at] * self.value, 0.0), self.first) * self.some
 
     def back(self, e: np.ndarray, columns: int) -> np.ndarray:
         return np.bincount(self.at, weights=e[self.of] * self.value, minlength=columns)

@@ -1,10 +1,13 @@
 """Held-out accuracy and defined results of the trained operators."""
 
+import os
 import random
 
 import numpy as np
-from lawloom.llm import lm, quality, toxicity
+import pytest
+from lawloom.llm import lm, quality, samples, toxicity
 
+SF = "/root/testdata/sf0.1"
 DOCS = "doc_id long, text string, score double"
 
 
@@ -52,6 +55,42 @@ def test_toxicity_and_quality(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i in [*want, *([5] if 5 in want else [])])
 
 
+def held_out_labels(spark, sf):
+    """Documents, labels, and the labels that no model of these tests learns from."""
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    truth = {r.doc_id: (r.quality, r.toxic) for r in labels.where(toxicity.is_held_out()).collect()}
+    return docs, labels, truth
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
+def test_held_out_labels_of_the_tables(spark):
+    docs, labels, truth = held_out_labels(spark, SF)
+    known = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = {r.doc_id: r for r in quality.score(known, quality.fit(docs, labels, where=~toxicity.is_held_out())).collect()}
+    kept = {i: r.tail_probability >= quality.KEEP for i, r in got.items()}
+    assert np.mean([kept[i] for i, (q, _) in truth.items() if q == 1]) >= 0.99
+    assert np.mean([not kept[i] for i, (q, _) in truth.items() if q == 0]) >= 0.9
+    score = {r.doc_id: r.score for r in toxicity.score(known, toxicity.fit(docs, labels, where=~toxicity.is_held_out())).collect()}
+    hit = [t for i, (_, t) in truth.items() if score[i] >= toxicity.THRESHOLD]
+    assert np.mean(hit) >= 0.95 and sum(hit) >= 0.85 * sum(t for _, t in truth.values())
+
+
+def test_words_and_pairs_are_features():
+    some = lambda text: dict(zip(*(x.tolist() for x in quality.features(text))))
+    a, b = some("the cat sat on the mat."), some("xqz vbn wpr lk zzx vvb.")
+    assert {x for x in a if x >= quality._WORDS}.isdisjoint(x for x in b if x >= quality._WORDS)
+    assert some("on the mat sat the cat.") != a and quality._TWICE not in a
+    assert abs(some("so so so it is")[quality._TWICE] ** 2 - 2 / 5) < 1e-9
+    assert some(None) == some("") == {} and all(x < quality._WORDS for x in some(" \n"))
+    assert quality.features("a b " * 50_000)[0].max() < quality.COLUMNS
+
+
+def test_rows_without_entries():
+    x = samples.Rows([np.array([], int), np.array([1, 2]), np.array([], int), np.array([0]), np.array([], int)], [np.zeros(0), np.array([2.0, 3.0]), np.zeros(0), np.array([5.0]), np.zeros(0)])
+    assert x.dot(np.array([1.0, 10.0, 100.0])).tolist() == [0, 320, 0, 5, 0]
+    assert samples.Rows([np.array([], int)], [np.zeros(0)]).dot(np.ones(2)).tolist() == [0]
+
+
 def test_without_labels_or_documents(spark):
     d = spark.createDataFrame([(1, "a b", 0.0)], DOCS)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
