@@ -32,6 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder in any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like those given that no column of ``df`` has, in any case of letters."""
     taken, out = {c.lower() for c in df.columns}, []
