@@ -2,17 +2,22 @@
 
 A bidirectional window network, written in numpy, predicts every token from the two tokens before and the two after it:
 position-wise embeddings of the window are added, squashed by tanh and mapped to a two-level softmax (class, then member
-of the class). A document's score is the sum over its tokens of log P(token | both sides).
+of the class), whose biases start from the counts of words. A document's score is the sum over its tokens of log P(token | both sides).
 
 The network's outputs are the most frequent words of the whole corpus (a shuffle of partial counts) and hashed buckets
 for all others; a word in a bucket adds log P(word | bucket), by the counts of all words of the corpus, to the network's
 log P(bucket | both sides). Those counts are as many as the corpus has words; they meet the texts in a shuffle and are
-never gathered. Training covers every document once, in rounds: each task trains its own copy on its documents of the round,
-the copies meet in a tree of averages weighted by tokens, and the next round starts from there. No task holds more than
-one network and one batch of documents.
+never gathered.
 
-Defined results: null and empty texts have no tokens, a log-probability of 0 and a mean of 0; with an empty corpus
-there is nothing to score; repeated rows are scored each time; other columns are left alone.
+Training covers every document once. Documents are dealt by the hash of id and text into shards of about SHARD words,
+and each into one of a number of rounds that grows with the logarithm of the shards. In a round each shard trains its
+own copy of the network on its documents, in the order of their hashes; the copies meet in a tree of sums in whole
+numbers, weighted by tokens, and the next round starts from their mean. So neither partitions nor the order of tasks
+change a score. No task holds more than one network, one sum and one group of documents.
+
+Defined results: null and empty texts have no tokens, a log-probability of 0 and a mean of 0; texts of any length are
+scored whole; words of equal counts take places in the order of their bytes; with an empty corpus there is nothing to
+score; repeated rows are scored each time; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +40,14 @@ CLASSES = MEMBERS = 32
 BUCKETS = 128
 WIDTH = 24
 SIDES = (-2, -1, 1, 2)
-BATCH = 8192
-ROUNDS = 2
-RATE = 1.5
+BATCH = 4096
+RATE = 4.0
+#: Words that one copy of the network is trained on in all rounds, about.
+SHARD = 4_000_000
+#: Tokens of a group of documents that are mixed with each other.
+GROUP = 400_000
+#: Steps of a weight in sums, as a fraction of 1.
+STEP = 1 << 20
 #: Words that a task counts before it passes its counts on.
 COUNTED = 200_000
 
@@ -71,20 +82,34 @@ def counts(docs: DataFrame) -> DataFrame:
     return cut(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def vocabulary(counted: DataFrame) -> dict[bytes, int]:
-    """Ids of the most frequent words; ties go to the smaller word."""
+@dataclass
+class Vocabulary:
+    """Places of the most frequent words, how often each place occurs, and the words in buckets: h, n, bucket."""
+
+    ids: dict[bytes, int]
+    counts: np.ndarray
+    others: DataFrame
+
+
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """Ties go to the smaller word."""
     top = counted.orderBy(F.desc("n"), "word").limit(_V - BUCKETS).collect()
-    return {bytes(r["word"]): i for i, r in enumerate(top)}
+    ids = {bytes(r["word"]): i for i, r in enumerate(top)}
+    known = F.broadcast(counted.sparkSession.createDataFrame([(bytearray(w),) for w in ids], "word binary"))
+    others = counted.join(known, "word", "left_anti").select(F.xxhash64("word").alias("h"), "n", (F.crc32("word") % BUCKETS).cast("int").alias("bucket"))
+    counts = np.zeros(_V, np.int64)
+    counts[: len(top)] = [r["n"] for r in top]
+    for r in others.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        counts[_V - BUCKETS + r["bucket"]] = r["n"]
+    return Vocabulary(ids, counts, others)
 
 
-def in_buckets(docs: DataFrame, counted: DataFrame, vocab: dict[bytes, int]) -> DataFrame:
+def in_buckets(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     """key (hash of a text), within: log P(word | bucket), summed over the text's words in buckets, if it has any."""
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(vocab)
-    top = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in vocab], "word binary"))
-    others = counted.join(top, "word", "left_anti").select(F.xxhash64("word").alias("h"), "n", (F.crc32("word") % BUCKETS).alias("bucket"))
-    total = F.broadcast(others.groupBy("bucket").agg(F.sum("n").alias("of")))
-    each = others.join(total, "bucket").select("h", F.log(F.col("n") / F.col("of")).alias("log_p"))
+    known = spark.sparkContext.broadcast(vocab.ids)
+    total = F.broadcast(spark.createDataFrame([(b, int(n)) for b, n in enumerate(vocab.counts[_V - BUCKETS :]) if n], "bucket int, of long"))
+    each = vocab.others.join(total, "bucket").select("h", F.log(F.col("n") / F.col("of")).alias("log_p"))
 
     def run(batches):
         seen = known.value
@@ -104,12 +129,12 @@ def in_buckets(docs: DataFrame, counted: DataFrame, vocab: dict[bytes, int]) ->
 
 def ids_of(text: bytes | None, vocab: dict[bytes, int]) -> np.ndarray:
     get, first = vocab.get, _V - BUCKETS
-    return np.array([i if (i := get(w, -1)) >= 0 else first + zlib.crc32(w) % BUCKETS for w in words_of(text)], np.int64)
+    return np.array([i if (i := get(w, -1)) >= 0 else first + zlib.crc32(w) % BUCKETS for w in words_of(text)], np.int16)
 
 
 def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Centres, and their neighbours on both sides; texts do not see each other."""
-    pad = np.full(2, _PAD, np.int64)
+    pad = np.full(2, _PAD, np.int16)
     flat = np.concatenate([pad, *(x for t in texts for x in (t, pad))])
     at = np.flatnonzero(flat != _PAD)
     return flat[at], np.stack([flat[at + s] for s in SIDES])
@@ -124,9 +149,15 @@ class Net:
     m: np.ndarray  # class, width + 1, member
 
     @classmethod
-    def new(cls) -> Net:
+    def new(cls, counts: np.ndarray | None = None) -> Net:
+        """counts: how often each place occurs; without a context's help that is what the network says."""
         r = np.random.RandomState(0)
-        return cls(r.normal(0, 0.1, (len(SIDES), _V + 1, WIDTH)).astype(np.float32), np.zeros((WIDTH + 1, CLASSES), np.float32), np.zeros((CLASSES, WIDTH + 1, MEMBERS), np.float32))
+        net = cls(r.normal(0, 0.1, (len(SIDES), _V + 1, WIDTH)).astype(np.float32), np.zeros((WIDTH + 1, CLASSES), np.float32), np.zeros((CLASSES, WIDTH + 1, MEMBERS), np.float32))
+        if counts is not None:
+            n = counts.reshape(CLASSES, MEMBERS) + 0.5
+            net.c[-1] = np.log(n.sum(axis=1) / n.sum())
+            net.m[:, -1] = np.log(n / n.sum(axis=1, keepdims=True))
+        return net
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.e.ravel(), self.c.ravel(), self.m.ravel()])
@@ -146,9 +177,10 @@ class Net:
 
     @staticmethod
     def softmax(z: np.ndarray) -> np.ndarray:
-        z -= z.max(axis=1, keepdims=True)
+        if len(z) and z.max() > 60:
+            z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z /= (z @ np.ones((z.shape[1], 1), z.dtype)) + np.float32(1e-30)
         return z
 
     def log_p(self, centres: np.ndarray, sides: np.ndarray) -> np.ndarray:
@@ -169,10 +201,11 @@ class Net:
         h = self.hidden(sides)
         cls, mem, row = w // MEMBERS, w % MEMBERS, np.arange(len(w))
         pc = self.softmax(h @ self.c)
-        p = pc[row, cls].astype(np.float64)
+        place = row * CLASSES + cls
+        p = pc.ravel()[place]
         back = None
         if rate:
-            pc[row, cls] -= 1
+            pc.ravel()[place] -= 1
             back = pc @ self.c[:-1].T
             gc = h.T @ pc
         ends = np.searchsorted(cls, np.arange(CLASSES + 1))
@@ -181,13 +214,14 @@ class Net:
             if a == b:
                 continue
             pm = self.softmax(h[a:b] @ self.m[k])
-            p[a:b] *= pm[row[: b - a], mem[a:b]]
+            place = row[: b - a] * MEMBERS + mem[a:b]
+            p[a:b] *= pm.ravel()[place]
             if rate:
-                pm[row[: b - a], mem[a:b]] -= 1
+                pm.ravel()[place] -= 1
                 back[a:b] += pm @ self.m[k][:-1].T
-                self.m[k] -= rate * np.sqrt((b - a) / len(w)) / (b - a) * (h[a:b].T @ pm)
+                self.m[k] -= np.float32(rate * np.sqrt((b - a) / len(w)) / (b - a)) * (h[a:b].T @ pm)
         if rate:
-            self.c -= rate / len(w) * gc
+            self.c -= np.float32(rate / len(w)) * gc
             back *= 1 - h[:, :-1] ** 2
             for s in range(len(SIDES)):
                 by = np.argsort(sides[s], kind="stable")
@@ -195,57 +229,77 @@ class Net:
                 first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
                 n = np.diff(np.r_[first, len(words)])[:, None]
                 # a rare word's row moves by more than its share of the batch
-                self.e[s][words[first]] -= rate * np.add.reduceat(back[by], first, axis=0) / np.sqrt(n * len(w)).astype(np.float32)
+                self.e[s][words[first]] -= np.add.reduceat(back[by], first, axis=0) * (rate / np.sqrt(n * len(w))).astype(np.float32)
         out = np.empty(len(w), np.float64)
-        out[order] = np.log(np.maximum(p, 1e-30))
+        out[order] = np.log(np.maximum(p, np.float32(1e-30)))
         return out
 
 
-def _texts(batch: pa.RecordBatch, vocab: dict[bytes, int]) -> list[np.ndarray]:
-    return [ids_of(t, vocab) for t in utf8(batch["text"])]
-
-
-def _groups(texts: list[np.ndarray], most: int = 400_000):
+def _groups(texts, most: int = GROUP):
     """Neighbouring texts, about so many tokens at a time."""
-    at, size = 0, 0
-    for n, t in enumerate(texts):
+    own, size = [], 0
+    for t in texts:
+        own.append(t)
         size += len(t)
         if size >= most:
-            yield texts[at : n + 1]
-            at, size = n + 1, 0
-    if at < len(texts):
-        yield texts[at:]
-
-
-def train(docs: DataFrame, vocab: dict[bytes, int], *, rounds: int = ROUNDS) -> Net:
-    """Every document is in one round, by its text's hash; a round's networks meet in averages."""
-    sc = docs.sparkSession.sparkContext
-    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    net = Net.new()
-    words = sc.broadcast(vocab)
+            yield own
+            own, size = [], 0
+    if own:
+        yield own
+
+
+def encode(docs: DataFrame, vocab: Vocabulary, shards: int, rounds: int) -> DataFrame:
+    """doc_id, key (hash of the text), shard, round, ids: at rest, a shard in one partition, in the order of hashes."""
+    words = docs.sparkSession.sparkContext.broadcast(vocab.ids)
+
+    def run(batches):
+        for b in batches:
+            ids = [ids_of(t, words.value).astype("<i2").tobytes() for t in utf8(b["text"])]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["key"], b["h"], pa.array(ids, pa.binary())], ["doc_id", "key", "h", "ids"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = texts.select("doc_id", "text", F.xxhash64("text").alias("key"), F.xxhash64("doc_id", "text").alias("h"))
+    made = named.mapInArrow(run, "doc_id long, key long, h long, ids binary")
+    dealt = made.withColumns({"round": F.pmod("h", F.lit(rounds)).cast("int"), "shard": F.pmod(F.shiftright("h", 20), F.lit(shards)).cast("int")})
+    return cut(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "doc_id"))
+
+
+def _ids(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<i2") for x in batch["ids"].to_pylist()]
+
+
+def train(encoded: DataFrame, counts: np.ndarray, rounds: int) -> Net:
+    """The mean of the shards' networks after the last round."""
+    sc = encoded.sparkSession.sparkContext
+    net = Net.new(counts)
     for r in range(rounds):
         start = sc.broadcast(net.flat())
-        rate = RATE / (1 + r)
+        rate = RATE / (1 + r) ** 0.5
 
         def run(batches, start=start, rate=rate):
-            own, seen = Net.of(start.value), 0
-            for b in batches:
-                for group in _groups(_texts(b, words.value)):
+            total, tokens = None, 0
+            for _, texts in groupby(((s, t) for b in batches for s, t in zip(b["shard"].to_pylist(), _ids(b))), key=lambda x: x[0]):
+                own, seen = Net.of(start.value), 0
+                for group in _groups(t for _, t in texts):
                     centres, sides = windows(group)
                     # tokens of all texts of the group in every step, in a fixed order
                     mix = np.random.RandomState(len(centres) % 2**31).permutation(len(centres))
                     own.train(centres[mix], sides[:, mix], rate)
                     seen += len(centres)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(own.flat() * np.float32(seen)).tobytes()], pa.binary())], ["n", "net"])
-
-        made = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).mapInArrow(run, "n long, net binary")
-        parts = made.rdd.map(lambda x: (x["n"], np.frombuffer(bytes(x["net"]), np.float32).astype(np.float64)))
+                if seen:
+                    whole = np.rint(own.flat().astype(np.float64) * STEP).astype(np.int64) * (seen // 64 + 1)
+                    total, tokens = whole if total is None else total + whole, tokens + seen // 64 + 1
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["n", "net"])
+
+        made = encoded.where(F.col("round") == r).select("shard", "ids").mapInArrow(run, "n long, net binary")
+        parts = made.rdd.map(lambda x: (x["n"], np.frombuffer(bytes(x["net"]), np.int64)))
         # few networks reach the driver at once, however many tasks there are
         depth = max(2, math.ceil(math.log(max(parts.getNumPartitions(), 2), 8)))
         n, total = parts.treeAggregate((0, None), _add, _add, depth=depth)
+        start.destroy()
         if n:
-            net = Net.of(total / n)
+            net = Net.of(total / n / STEP)
     return net
 
 
@@ -253,16 +307,15 @@ def _add(a, b):
     return a[0] + b[0], b[1] if a[1] is None else a[1] if b[1] is None else a[1] + b[1]
 
 
-def score(docs: DataFrame, net: Net, vocab: dict[bytes, int]) -> DataFrame:
-    """doc_id, key (hash of the text), n_tokens and log_prob, the network's sum."""
-    sc = docs.sparkSession.sparkContext
-    words, flat = sc.broadcast(vocab), sc.broadcast(net.flat())
+def score(encoded: DataFrame, net: Net) -> DataFrame:
+    """doc_id, key, n_tokens and log_prob, the network's sum."""
+    flat = encoded.sparkSession.sparkContext.broadcast(net.flat())
 
     def run(batches):
         own = Net.of(flat.value)
         for b in batches:
             n, total = [], []
-            for group in _groups(_texts(b, words.value)):
+            for group in _groups(_ids(b)):
                 sizes = np.array([len(t) for t in group])
                 log_p = np.r_[0.0, np.cumsum(own.log_p(*windows(group)))]
                 ends = np.cumsum(sizes)
@@ -270,14 +323,19 @@ def score(docs: DataFrame, net: Net, vocab: dict[bytes, int]) -> DataFrame:
                 total += (log_p[ends] - log_p[ends - sizes]).tolist()
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["key"], pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "key", "n_tokens", "log_prob"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.withColumn("key", F.xxhash64("text")).mapInArrow(run, "doc_id long, key long, n_tokens long, log_prob double")
+    return encoded.select("doc_id", "key", "ids").mapInArrow(run, "doc_id long, key long, n_tokens long, log_prob double")
+
+
+def rounds_for(shards: int) -> int:
+    return 2 + int(math.log2(shards)) // 2
 
 
-def score_corpus(docs: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
+def score_corpus(docs: DataFrame, *, shard: int = SHARD) -> DataFrame:
     """doc_id, n_tokens, log_prob (summed) and mean_log_prob."""
     counted = counts(docs)
     vocab = vocabulary(counted)
-    scored = score(docs, train(docs, vocab, rounds=rounds), vocab).join(in_buckets(docs, counted, vocab), "key", "left")
+    shards = max(1, -(-(counted.agg(F.sum("n").alias("n")).first()["n"] or 0) // shard))
+    encoded = encode(docs, vocab, shards, rounds_for(shards))
+    scored = score(encoded, train(encoded, vocab.counts, rounds_for(shards))).join(in_buckets(docs, vocab), "key", "left")
     whole = scored.select("doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("within", F.lit(0.0))).alias("log_prob"))
     return whole.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).otherwise(0.0))

@@ -148,9 +148,38 @@ def test_words_of_a_bucket_are_told_apart(spark):
     vocab = lm.vocabulary(counted)
     n = {bytes(r.word): r.n for r in counted.collect()}
     bucket = lambda w: lm.zlib.crc32(w) % lm.BUCKETS
-    of = [sum(k for w, k in n.items() if w not in vocab and bucket(w) == b) for b in range(lm.BUCKETS)]
-    want = [sum(np.log(n[w] / of[bucket(w)]) for w in lm.words_of((t or "").encode()) if w not in vocab) for t in texts]
-    net = {r.doc_id: r.log_prob for r in lm.score(d, lm.train(d, vocab), vocab).collect()}
+    of = [sum(k for w, k in n.items() if w not in vocab.ids and bucket(w) == b) for b in range(lm.BUCKETS)]
+    want = [sum(np.log(n[w] / of[bucket(w)]) for w in lm.words_of((t or "").encode()) if w not in vocab.ids) for t in texts]
+    encoded = lm.encode(d, vocab, 1, 2)
+    net = {r.doc_id: r.log_prob for r in lm.score(encoded, lm.train(encoded, vocab.counts, 2)).collect()}
     got = {r.doc_id: r for r in lm.score_corpus(d).collect()}
     assert len(got) == len(texts) and want[20] < -1 and want[0] == 0
     assert all(abs(got[i].log_prob - net[i] - want[i]) < 0.05 + 1e-4 * abs(want[i]) for i in got)
+
+
+def test_partitions_change_no_score(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(1500)]
+    docs = [(i, " ".join(r.choice(words[: 30 + i]) for _ in range(r.randint(0, 60))), 0.0) for i in range(400)] + [(7, None, 0.0), (None, "w1 w2 w3", 0.0)]
+    d = spark.createDataFrame(docs, DOCS)
+    one, many = ({str(x.doc_id): (x.n_tokens, x.log_prob) for x in lm.score_corpus(d.repartition(n), shard=1500).where("doc_id is null or doc_id <> 7").collect()} for n in (1, 32))
+    assert one.keys() == many.keys() and len(one) == 400
+    assert all(one[i][0] == many[i][0] and abs(one[i][1] - many[i][1]) <= 1e-5 * abs(one[i][1]) for i in one)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
+def test_network_beats_word_counts_on_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.1', '0.01')}/documents.parquet")
+    held = docs.where(toxicity.is_held_out())
+    seen = docs.where(~toxicity.is_held_out())
+    counted = lm.counts(seen)
+    vocab = lm.vocabulary(counted)
+    score = lambda net: [sum(x) for x in zip(*((r.log_prob, r.n_tokens) for r in lm.score(lm.encode(held, vocab, 1, 1), net).collect()))]
+    before, n = score(lm.Net.new(vocab.counts))
+    after, _ = score(lm.train(lm.encode(seen, vocab, 2, 2), vocab.counts, 2))
+    assert after / n > before / n + 0.05
+
+
+def test_a_very_long_text_and_names_of_columns(spark):
+    d = spark.createDataFrame([(1, "a b c " * 100_000, 1, 2, 3), (2, "a b", 1, 2, 3)], "doc_id long, text string, key int, word int, h int")
+    assert sorted((r.doc_id, r.n_tokens) for r in lm.score_corpus(d).collect()) == [(1, 300_000), (2, 2)]
