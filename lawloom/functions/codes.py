@@ -31,6 +31,14 @@ def alpha_code(c: Column, prefix: str) -> Column:
     return F.when(letters.rlike("^[A-Z]+$"), F.format_string("%03d", letters_value(letters))).otherwise("000")
 
 
+def first_letter_code(c: Column, prefix: str) -> Column:
+    """The older form: the one letter after the prefix, or the first letter of other text, as a number; 000 for none."""
+    up = _upper(c)
+    after = F.regexp_extract(up, rf"^{prefix}\s+([A-Z])", 1)
+    letter = F.when(after != "", after).otherwise(F.regexp_extract(up, "^([A-Z])", 1))
+    return F.when(letter != "", F.format_string("%03d", F.ascii(letter) - 64)).otherwise("000")
+
+
 def roman_value(c: Column) -> Column:
     """Numerals added up from the left, pairs as one; irregular ones are added as they come. 0 for other text."""
     up = _upper(c)

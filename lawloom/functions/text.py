@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Lower-cased agency text for a null, as found in tagged data of the compat mode.
-NULL_WORDS = ("none", "nan")
-
 
 def strip(c: Column) -> Column:
     """Without leading and trailing Unicode white space."""
@@ -20,10 +17,6 @@ def norm(c: Column) -> Column:
     return F.when(s == "nan", "").otherwise(s)
 
 
-def contains_ci(c: Column, needle: str) -> Column:
-    return F.lower(F.coalesce(c, F.lit(""))).contains(needle.lower())
-
-
 def any_contains(c: Column, needles) -> Column:
     """Whether the lower-cased text holds one of the needles; False for null."""
     low = F.lower(F.coalesce(c, F.lit("")))
@@ -48,9 +41,5 @@ def sha256(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
-def excerpt(c: Column, n: int) -> Column:
-    return F.substring(c, 1, n)
-
-
 def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) == ""

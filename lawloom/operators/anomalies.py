@@ -49,6 +49,22 @@ def duplicate_groups(df: DataFrame, *, key: str, order: str, fields: list[str],
     return some.groupBy(key, "n").agg(F.sort_array(F.collect_list(F.struct(order, *fields))).alias("rows")).withColumn("truncated", F.col("n") > most)
 
 
+def duplicate_context(df: DataFrame, laws: DataFrame, *, key: str = "UniqueKey", order: str = "OriginalOrder", law: str = "LawIdentifier", fields: list[str], most: int = 6) -> DataFrame:
+    """duplicate_groups with the group's law identifiers (distinct, rising) and, for each, what ``laws`` knows of it.
+
+    laws has ``law``, citable_as, statutes_citation, sourceline, line_end and tag_path; a law that it lacks is cited as itself.
+    """
+    groups = duplicate_groups(df, key=key, order=order, fields=fields, most=most)
+    own = df.join(groups.select(key), key, "left_semi").where(F.col(law).isNotNull()).select(key, F.col(law).cast("string").alias(law)).distinct()
+    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    known = own.join(laws.dropDuplicates([law]), law, "left")
+    each = F.struct(F.col(law).alias("law_identifier"), F.coalesce("citable_as", F.col(law)).alias("citable_as"), blank("statutes_citation"), "sourceline", "line_end", blank("tag_path"))
+    context = known.groupBy(key).agg(F.array_sort(F.collect_list(each)).alias("per_law_context"))
+    none = F.array().cast(context.schema["per_law_context"].dataType)
+    out = groups.join(context, key, "left").withColumn("per_law_context", F.coalesce("per_law_context", none))
+    return out.withColumn("law_identifiers", F.col("per_law_context.law_identifier"))
+
+
 def top(df: DataFrame, order: list, n: int = 80) -> DataFrame:
     """The first n rows: a report."""
     return df.orderBy(*order).limit(n)

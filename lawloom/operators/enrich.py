@@ -71,12 +71,14 @@ def content_hash(df: DataFrame, law: list[str], column: str = "Text", name: str
 def grow_dictionary(known: DataFrame, values: DataFrame) -> DataFrame:
     """term, id of a dictionary with the new values after the old ones, in their order.
 
-    ``known`` has term, id; ``values`` has term. Ids are numbered from the size of the dictionary on.
+    ``known`` has term, id; ``values`` has term and may have vol: then the terms of a lower volume come first, as if the
+    volumes had been added one by one. Ids are numbered from the size of the dictionary on.
     """
     size = known.count()
-    new = values.select(F.lower(text.strip(F.col("term"))).alias("term")).where("term is not null and term not in ('', 'nan')").distinct().join(known, "term", "left_anti")
-    # ranks without one task for all new terms: counts of what sorts before a first pair of characters, then numbers within it
-    new = new.withColumn("__p", F.substring("term", 1, 2))
+    vol = F.col("vol").cast("long") if "vol" in values.columns else F.lit(0).cast("long")
+    new = values.select(F.lower(text.strip(F.col("term"))).alias("term"), vol.alias("vol")).where("term is not null and term not in ('', 'nan')").groupBy("term").agg(F.min("vol").alias("vol")).join(known, "term", "left_anti")
+    # ranks without one task for all new terms: counts of what sorts before a volume and first pair of characters, then numbers within it
+    new = new.select("term", F.struct("vol", F.substring("term", 1, 2).alias("start")).alias("__p"))
     ranked = new.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy("term")))
     before = new.groupBy("__p").count().select(F.col("__p").alias("__q"), (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__before"))
     numbered = ranked.join(before, F.col("__p") == F.col("__q"))
@@ -84,7 +86,7 @@ def grow_dictionary(known: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def headings(df: DataFrame) -> DataFrame:
-    return df.select(F.explode(F.array(*LEVELS)).alias("term"))
+    return df.select("vol", F.explode(F.array(*LEVELS)).alias("term"))
 
 
 def unique_keys(df: DataFrame, dictionary: DataFrame, *, version: str) -> DataFrame:

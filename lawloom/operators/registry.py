@@ -13,7 +13,14 @@ from lawloom.operators import rules
 from lawloom.schemas import ENTRY
 
 KINDS = ("law_id", "section_number", "other")
-OPEN = ("pending", "approved")
+DONE = ("not_required", "implemented", "manual_override")
+# What a rule's pattern may say, and what the reports of volumes then say that it would mend.
+SAID = (
+    (("sectionnumber is null", "outer <section>", "unnumbered opening", "no <num>", "without appropriate num", "lacking <num>"), ("share a uniquekey",)),
+    (("no top-level <section>", "<main> contains <part>", "<main> contains <title>", "<main> contains <chapter>", "<main> contains <quotedcontent>", "zero top-level <section>", "bare <subsection>"), ("laws in the table",)),
+    (("sibling <appropriations>",), ("share a uniquekey",)),
+    (("sibling <level>",), ("share a uniquekey",)),
+)
 
 
 def proposal_key() -> Column:
@@ -48,7 +55,7 @@ def mark(entries: DataFrame, ids: list[int], **values) -> DataFrame:
 
 def backfill(entries: DataFrame) -> DataFrame:
     """Entries from before implementation was tracked: rules need none, others wait for it."""
-    return entries.withColumn("implementation_status", F.coalesce("implementation_status", F.when(F.col("type") == "other", "pending").otherwise("not_applicable")))
+    return entries.withColumn("implementation_status", F.coalesce("implementation_status", F.when(F.col("type") == "other", "pending").otherwise("not_required")))
 
 
 def override_union(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
@@ -79,8 +86,8 @@ def fingerprint(rule_rows: list[tuple]) -> str:
 
 
 def applied(entries: DataFrame) -> DataFrame:
-    """Entries that may be called applied: approved rules, and approved others once implemented."""
-    return entries.where((F.col("status") == "approved") & ((F.col("type") != "other") | F.col("implementation_status").isin("implemented", "completed")))
+    """Entries that may be called applied: approved ones that need no implementation or have it."""
+    return entries.where((F.col("status") == "approved") & F.coalesce("implementation_status", F.lit("not_required")).isin(*DONE))
 
 
 def affected_volumes(reports: DataFrame, needles: list[str]) -> DataFrame:
@@ -89,6 +96,20 @@ def affected_volumes(reports: DataFrame, needles: list[str]) -> DataFrame:
     return reports.where(F.exists(F.array(*(F.lit(n.lower()) for n in needles)), lambda n: F.contains(said, n))).select("vol").distinct() if needles else reports.select("vol").limit(0)
 
 
+def needles(pattern: str | None) -> list[str]:
+    """What reports say about volumes that a rule with this pattern concerns."""
+    low = (pattern or "").lower()
+    return sorted({n for keys, said in SAID if any(k in low for k in keys) for n in said})
+
+
+def volumes_of(entry: DataFrame, reports: DataFrame) -> DataFrame:
+    """The volumes that one entry concerns: where it was found, and those whose reports say so."""
+    pattern = F.coalesce(F.nullif(F.element_at("trigger", "pattern"), F.lit("")), F.element_at("correction", "description"))
+    row = entry.select(pattern.alias("pattern"), "discovered_in_vol").first()
+    found = entry.select(F.col("discovered_in_vol").alias("vol")).where("vol is not null")
+    return found.unionByName(affected_volumes(reports, needles(row["pattern"] if row else None)).select(F.col("vol").cast("int"))).distinct()
+
+
 def append_new(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``new`` whose key (letter case and outer space aside) the table lacks, each once."""
     norm = lambda df: df.withColumn("__k", F.concat_ws("\u0000", *(text.norm(F.col(c).cast("string")) for c in key)))

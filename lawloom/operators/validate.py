@@ -49,7 +49,7 @@ def measures(df: DataFrame, keys: list[str]) -> DataFrame:
     section_checks = []
     for i, (vol, part, words, to) in enumerate(SECTION_CHECKS):
         hit = (F.col("vol") == vol) & F.col("LawIdentifier").contains(part) & heading.contains(words)
-        section_checks += [_n(hit).alias(f"sec_{i}_rows"), _n(hit & (F.col("SectionNumber") == to)).alias(f"sec_{i}_right")]
+        section_checks += [_n(hit).alias(f"sec_{i}_rows"), _n(hit & (F.col("SectionNumber") == to)).alias(f"sec_{i}_right"), F.slice(F.array_sort(F.collect_set(F.when(hit, F.col("SectionNumber")))), 1, 3).alias(f"sec_{i}_numbers")]
     per_key = df.groupBy(*keys, "UniqueKey").agg(F.count("*").alias("__c")).groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("UniqueKey").isNotNull() & (F.col("__c") > 1), F.col("__c"))), F.lit(0).cast("long")).alias("duplicate_keys"))
     whole = df.groupBy(*keys).agg(
         F.count("*").alias("row_count"),
@@ -69,8 +69,8 @@ def status(failed: Column, warnings: Column) -> Column:
     return F.when(F.size(failed) > 0, "failed").when(F.size(warnings) > 0, "warning").otherwise("passed")
 
 
-def report(measured: DataFrame, public_laws: DataFrame | None = None) -> DataFrame:
-    """vol, passed, failed, warnings, row_count, law_count, status. public_laws: vol, public_count."""
+def report(measured: DataFrame, public_laws: DataFrame | None = None, *, columns: list[str] | None = None) -> DataFrame:
+    """vol, passed, failed, warnings, row_count, law_count, status. public_laws: vol, public_count; columns: those of the table."""
     if public_laws is not None:
         measured = measured.join(public_laws, "vol", "left")
     share = F.col("with_text") / F.col("row_count")
@@ -81,8 +81,11 @@ def report(measured: DataFrame, public_laws: DataFrame | None = None) -> DataFra
         ("warnings", "text_coverage", share < COVERAGE, F.format_string("text coverage %.3f", share)),
         ("warnings", "selection", F.col("selected") != SELECTED, F.format_string("%d rows selected", "selected")),
     ]
+    if columns is not None:
+        missing, extra = missing_columns(columns)
+        checks += [("failed", "missing_columns", F.lit(bool(missing)), F.lit(f"missing columns: {', '.join(missing)}")), ("warnings", "extra_columns", F.lit(bool(extra)), F.lit(f"extra columns: {', '.join(extra)}"))]
     checks += [("failed", f"law_rule_{i}", F.col(f"law_{i}") > 0, F.lit(f"{bad} should be {good}")) for i, (_, good, bad) in enumerate(LAW_ID_CHECKS)]
-    checks += [("failed", f"section_rule_{i}", (F.col(f"sec_{i}_rows") > 0) & (F.col(f"sec_{i}_right") == 0), F.lit(f"{part}: {words} should be {to}")) for i, (_, part, words, to) in enumerate(SECTION_CHECKS)]
+    checks += [("failed", f"section_rule_{i}", (F.col(f"sec_{i}_rows") > 0) & (F.col(f"sec_{i}_right") == 0), F.concat(F.lit(f"{part}: {words} should be {to}, not "), F.array_join(F.col(f"sec_{i}_numbers"), ", ", "(null)"))) for i, (_, part, words, to) in enumerate(SECTION_CHECKS)]
     if public_laws is not None:
         checks.append(("warnings", "law_count", F.coalesce("public_count", F.lit(0)) != F.col("law_count"), F.format_string("%d laws in the table, %d in the source", "law_count", F.coalesce("public_count", F.lit(0)))))
     some = lambda kind: F.filter(F.array(*(F.when(bad, said) for k, _, bad, said in checks if k == kind)), lambda x: x.isNotNull())

@@ -1,12 +1,14 @@
 """From volumes of markup to published tables: parse, repair, segment, enrich, validate, correct, publish.
 
-All volumes of a run are one set of jobs; a volume's failure is a row, not an exception.
+All volumes of a run are one set of jobs; a volume's failure is a row, not an exception. The markup is parsed once: laws
+and then the enriched table are written to the scratch folder, and every later step starts from there.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime
+import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,56 +16,83 @@ from pyspark.sql import functions as F
 
 from lawloom.functions import ids
 from lawloom.operators import enrich, passes, registry, rules, segment, validate
-from lawloom.sources import publish, volumes
+from lawloom.sources import publish, volumes, workspace
+
+FAILED = frozenset({"missing_xml", "parse_failed", "enrich_failed", "validate_failed", "publish_failed"})
 
 
 @dataclass
 class Run:
-    """What a run leaves: status of each volume, the tables, the reports."""
+    """What a run leaves: status of each volume, the tables, the reports, the grown dictionary."""
 
     status: dict[int, str] = field(default_factory=dict)
     table: DataFrame | None = None
     reports: DataFrame | None = None
+    dictionary: DataFrame | None = None
+
+    def ready(self) -> list[int]:
+        return [v for v, s in self.status.items() if s == "ready_for_publish"]
 
     def exit_code(self) -> int:
-        return 1 if {"missing_xml", "parse_failed", "validate_failed"} & set(self.status.values()) else 0
+        return 1 if FAILED & set(self.status.values()) else 0
 
 
-def parse(spark: SparkSession, folder: str, vols: list[int] | None = None, *, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Public laws with repaired identifiers, and their rows after the law-id rules and all passes; failures last."""
-    laws = volumes.read_laws(volumes.volume_files(spark, folder, vols))
+def _at_rest(df: DataFrame, path: str | None) -> DataFrame:
+    if path is None:
+        return df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def rows_of(laws: DataFrame, *, strict: bool = False, compat: bool = False) -> DataFrame:
+    """The rows of public laws, after the law-id rules; failures last."""
     public = volumes.identified(laws.where("error is null"))
     ruled = rules.cumulative(F.col("law_id"), F.col("official_title"), rules.LAW_IDS)
     public = public.withColumn("law_id", ruled)
     public = public.withColumn("law_id", F.when(F.col("vol") > 63, ids.repair(F.col("law_id"), F.col("congress"), F.col("doc_number"))).otherwise(F.col("law_id")))
-    rows = volumes.law_rows(public, strict=strict, number_rules=list(rules.SECTION_NUMBERS))
-    return laws, rows
+    return volumes.law_rows(public, strict=strict, compat=compat, number_rules=list(rules.SECTION_NUMBERS))
 
 
-def build(rows: DataFrame, *, agencies: list[str], dictionary: DataFrame, version: str, n: int = segment.SAMPLE) -> DataFrame:
-    """The segment table with all enrichments, keys made distinct."""
+def parse(spark: SparkSession, folder: str, vols: list[int] | None = None, *, strict: bool = False, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Laws, and the rows of public ones with repaired identifiers."""
+    laws = volumes.read_laws(volumes.volume_files(spark, folder, vols))
+    laws = _at_rest(laws, scratch and f"{scratch}/laws")
+    return laws, _at_rest(rows_of(laws, strict=strict), scratch and f"{scratch}/rows")
+
+
+def build(rows: DataFrame, *, agencies: list[str], dictionary: DataFrame, version: str, n: int = segment.SAMPLE) -> tuple[DataFrame, DataFrame]:
+    """The segment table with all enrichments and keys made distinct; the dictionary with its new headings."""
     table = segment.build(passes.repair(rows.where("error is null")).withColumn("error", F.lit(None).cast("string")))
     table = segment.sample(table, keys=["vol"], id_column="OriginalOrder", n=n, where=segment.eligible())
     grown = enrich.grow_dictionary(dictionary, enrich.headings(table))
     table = enrich.enrich(table, agencies=agencies, dictionary=grown, version=version)
-    return enrich.suffix_keys(table, key="UniqueKey", order=["OriginalOrder"], scope=["vol"])
+    return enrich.suffix_keys(table, key="UniqueKey", order=["OriginalOrder"], scope=["vol"]), grown
 
 
-def process(spark: SparkSession, folder: str, vols: list[int], *, agencies: list[str] = (), dictionary: DataFrame | None = None, version: str = "BaseRun", n: int = segment.SAMPLE) -> Run:
+def process(spark: SparkSession, folder: str, vols: list[int], *, agencies: list[str] = (), dictionary: DataFrame | None = None, version: str = "BaseRun", n: int = segment.SAMPLE, scratch: str | None = None) -> Run:
     run = Run({v: "missing_xml" for v in vols})
-    dictionary = spark.createDataFrame([], "term string, id long") if dictionary is None else dictionary
-    laws, rows = parse(spark, folder, vols)
+    dictionary = workspace.empty_dictionary(spark) if dictionary is None else dictionary
+    laws, rows = parse(spark, folder, vols, scratch=scratch)
     errors = laws.where("error is not null").select("vol", "error").unionByName(rows.where("error is not null").select("vol", "error"))
     for r in laws.groupBy("vol").count().collect():
         run.status[r["vol"]] = "ready_for_publish"
-    run.table = build(rows, agencies=list(agencies), dictionary=dictionary, version=version, n=n)
-    counts = laws.where("lower(trim(public_private)) = 'public'").groupBy("vol").agg(F.count("*").alias("public_count"))
-    run.reports = validate.report(validate.measures(run.table, ["vol"]), counts)
-    for r in run.reports.select("vol", "status").collect():
-        if r["status"] == "failed":
-            run.status[r["vol"]] = "validate_failed"
     for r in errors.groupBy("vol").agg(F.min("error").alias("error")).collect():
         run.status[r["vol"]] = "parse_failed"
+    try:
+        table, run.dictionary = build(rows, agencies=list(agencies), dictionary=dictionary, version=version, n=n)
+        run.table = _at_rest(table, scratch and f"{scratch}/enriched")
+        run.dictionary = _at_rest(run.dictionary, scratch and f"{scratch}/dictionary")
+        counts = laws.where("lower(trim(public_private)) = 'public'").groupBy("vol").agg(F.count("*").alias("public_count"))
+        columns = publish.output_columns(run.table)
+        run.reports = _at_rest(validate.report(validate.measures(run.table, ["vol"]), counts, columns=columns), scratch and f"{scratch}/reports")
+        found = run.reports.select("vol", "status").collect()
+    except Exception as e:
+        if scratch is None:
+            raise
+        print(f"enrichment failed: {e}", file=sys.stderr)
+        run.status |= dict.fromkeys(run.ready(), "enrich_failed")
+        return run
+    run.status |= {r["vol"]: "validate_failed" for r in found if r["status"] == "failed" and run.status[r["vol"]] == "ready_for_publish"}
     return run
 
 
@@ -75,41 +104,69 @@ def correct(table: DataFrame, entries: DataFrame) -> DataFrame:
     return enrich.suffix_keys(rules.apply(table, law_ids=law_ids, section_numbers=numbers), key="UniqueKey", order=["OriginalOrder"], scope=["vol"])
 
 
+def run_volumes(spark: SparkSession, source: str, output: str, wanted: list[int], *, agencies: list[str] = (), force: bool = False, stop_before_publish: bool = False, keep_scratch: bool = False, stamp: str | None = None, n: int = segment.SAMPLE) -> Run:
+    """A whole run: what is published from the same input is skipped; the dictionary is read, grown and written back."""
+    stamp = stamp or datetime.datetime.now(datetime.UTC).strftime("%Y%m%d_%H%M%S")
+    workspace.bootstrap(output, source)
+    manifest = publish.Manifest(f"{output}/manifest.json")
+    manifest.refresh(volumes.volume_files(spark, source, wanted))
+    todo = manifest.to_do(wanted, force=force)
+    if not todo:
+        return Run(dict.fromkeys(wanted, "skipped"))
+    scratch = f"{output}/scratch/{stamp}"
+    run = process(spark, source, todo, agencies=agencies, dictionary=workspace.read_dictionary(spark, f"{output}/dictionary"), version=stamp, n=n, scratch=scratch)
+    run.status |= {v: "skipped" for v in wanted if v not in todo}
+    if run.reports is not None:
+        workspace.write_dictionary(run.dictionary, f"{output}/dictionary")
+        publish.write_reports(run.reports, f"{output}/reports/{stamp}")
+    ready = run.ready()
+    if stop_before_publish and ready:
+        run.table.where(F.col("vol").isin(ready)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("vol").parquet(f"{output}/checkpoint")
+    elif ready:
+        try:
+            publish.publish(run.table, f"{output}/published", volumes=ready, manifest=manifest, run_ts=stamp, force=force)
+            run.status |= dict.fromkeys(ready, "success")
+        except publish.FrozenError as e:
+            print(e, file=sys.stderr)
+            run.status |= dict.fromkeys(ready, "publish_failed")
+    for v in todo:
+        if run.status[v] != "success":
+            manifest.update(v, status=run.status[v])
+    manifest.stamp(todo, stamp)
+    manifest.save()
+    if not keep_scratch:
+        workspace.cleanup(output, stamp)
+    return run
+
+
+def known_agencies(spark: SparkSession, path: str) -> list[str]:
+    lookup = volumes.read_csv_lookup(spark, path, ["Agency", "Bureau"])
+    return [r["term"] for r in enrich.terms(lookup, ["Agency", "Bureau"]).collect()]
+
+
 def main(argv: list[str] | None = None) -> int:
+    """0: all is well; 1: a volume failed; 2: the volumes asked for make no sense."""
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--volumes", required=True)
     p.add_argument("--agencies", default="")
-    p.add_argument("--force", action="store_true")
-    p.add_argument("--stop-before-publish", action="store_true")
-    p.add_argument("--dry-run", action="store_true")
+    for flag in ("--force", "--stop-before-publish", "--keep-scratch", "--dry-run"):
+        p.add_argument(flag, action="store_true")
     a = p.parse_args(argv)
-    wanted = ids.parse_volumes(a.volumes)
+    try:
+        wanted = ids.parse_volumes(a.volumes)
+    except ValueError as e:
+        print(e, file=sys.stderr)
+        return 2
     spark = SparkSession.builder.getOrCreate()
-    manifest = publish.Manifest(f"{a.output}/manifest.json")
-    manifest.refresh(volumes.volume_files(spark, a.input))
-    todo = manifest.to_do(wanted, force=a.force)
     if a.dry_run:
-        print(todo)
+        manifest = publish.Manifest(f"{a.output}/manifest.json")
+        manifest.refresh(volumes.volume_files(spark, a.input, wanted))
+        print(manifest.to_do(wanted, force=a.force))
         return 0
-    known = []
-    if a.agencies:
-        lookup = volumes.read_csv_lookup(spark, a.agencies, ["Agency", "Bureau"])
-        known = [r["term"] for r in enrich.terms(lookup, ["Agency", "Bureau"]).collect()]
-    stamp = datetime.datetime.now(datetime.UTC).strftime("%Y%m%d_%H%M%S")
-    run = process(spark, a.input, todo, agencies=known, version=stamp)
-    publish.write_reports(run.reports, f"{a.output}/reports/{stamp}")
-    ready = [v for v, s in run.status.items() if s == "ready_for_publish"]
-    if a.stop_before_publish:
-        run.table.write.mode("overwrite").partitionBy("vol").parquet(f"{a.output}/checkpoint")
-    elif ready:
-        publish.publish(run.table, f"{a.output}/published", volumes=ready, manifest=manifest, run_ts=stamp, force=a.force)
-    for v, s in run.status.items():
-        if s not in ("ready_for_publish",):
-            manifest.update(v, status=s)
-    manifest.save()
-    print(manifest.summary())
+    run = run_volumes(spark, a.input, a.output, wanted, agencies=known_agencies(spark, a.agencies) if a.agencies else [], force=a.force, stop_before_publish=a.stop_before_publish, keep_scratch=a.keep_scratch)
+    print(dict(sorted(run.status.items())))
     return run.exit_code()
 
 

@@ -14,8 +14,6 @@ _KIND = {"OriginalOrder": T.LongType(), "Selection": T.IntegerType(), "Order": T
 
 PUBLISHED = T.StructType([T.StructField(n, _KIND.get(n, T.StringType())) for n in FINAL_COLUMNS])
 
-SEQUENCE = "vol int, xml_index int, citable_as string, sidenote string, canonical_law_id string, law_number long, is_public boolean, congress_session string, official_title string, sourceline int, line_end int, tag_path string, xml_excerpt string"
-
 ENTRY = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -33,4 +31,8 @@ ENTRY = T.StructType(
     ]
 )
 
-ISSUE_COLUMNS = ["volume", "xml_index", "kind", "citation", "description", "evidence", "suggested_fix", "logged_at"]
+ISSUE_COLUMNS = ["Citable As", "Volume", "Congress", "issue", "Should_say", "text_says", "location_in_xml", "line_numbers"]
+
+#: Columns of the two older forms of a published table.
+OLDER = ["OriginalOrder", "EntryType", "Selection", "Order", "LawIdentifier", "LawType", "LawTitle", "approvedDate", "Division", "Title", "SubTitle", "Chapter", "SubChapter", "SectionNumber", "SectionName", *(f"DivisionHeadingLevel{n}" for n in (1, 2, 3)), "Text"]
+OLDER_KEYED = [*OLDER[:4], "UniqueKey", "KeyVersion", *OLDER[4:], "Agencies_Row", "Agencies_Law"]

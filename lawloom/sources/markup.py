@@ -123,10 +123,14 @@ def _trimmed(text: str | None, trim: bool) -> str | None:
 
 
 class Walker:
-    """Rows of law bodies. number_rules gives a section's corrected number or None."""
+    """Rows of law bodies. number_rules gives a section's corrected number or None.
 
-    def __init__(self, *, strict: bool = False, trim: bool = True, number_rules=None):
-        self.strict, self.trim, self.number_rules = strict, trim, number_rules
+    compat keeps to the known paths and also repeats what stands right below a division's title once for each chapter of
+    that title, under that chapter's label, as older tables do.
+    """
+
+    def __init__(self, *, strict: bool = False, trim: bool = True, number_rules=None, compat: bool = False):
+        self.strict, self.trim, self.number_rules, self.compat = strict or compat, trim, number_rules, compat
 
     def law(self, elem, vol: int, xml_index: int, meta: dict) -> Law:
         law = Law(vol, xml_index, meta)
@@ -179,6 +183,17 @@ class Walker:
                 num = child(c, "num")
                 text = None if num is None else clean_text(num) if kind == "division" else num.text
                 self._container(law, c, f"{path}/{kind}".strip("/"), labels | ({column: _trimmed(text, self.trim)} if column else {}))
+        if self.compat and path == "division/title":
+            self._repeated(law, elem, path, labels)
+
+    def _repeated(self, law: Law, title, path: str, labels: dict) -> None:
+        for chapter in [*children(title, "chapter"), *(c for p in children(title, "part") for c in children(p, "chapter"))]:
+            num = child(chapter, "num")
+            own = labels | {"Chapter": None if num is None else _trimmed(num.text, self.trim)}
+            for s in [*(s for x in children(title, "level") for s in children(x, "section")), *children(title, "section")]:
+                self._section(law, s, path, own)
+            for b in children(title, "appropriations"):
+                self._block(law, b, own, [])
 
     # Bodies that gave no row otherwise.
 

@@ -69,6 +69,10 @@ class Manifest:
     def to_do(self, volumes: list[int], *, force: bool = False) -> list[int]:
         return [v for v in volumes if force or self.volumes.get(str(v), {}).get("status") != "published"]
 
+    def stamp(self, volumes: list[int], run_ts: str) -> None:
+        for v in volumes:
+            self.update(v, last_run=run_ts)
+
     def update(self, vol: int, **values) -> None:
         self.volumes.setdefault(str(vol), {}).update(values)
 
@@ -100,10 +104,16 @@ def publish(df: DataFrame, path: str, *, volumes: list[int], manifest: Manifest,
     out = final(df.where(F.col("vol").isin(volumes)))
     out.repartition("vol").sortWithinPartitions("vol", "OriginalOrder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("vol").parquet(path)
     for r in spark.read.parquet(path).where(F.col("vol").isin(volumes)).groupBy("vol").agg(F.count("*").alias("n"), F.countDistinct("LawIdentifier").alias("laws")).collect():
-        manifest.update(r["vol"], status="published", rows=r["n"], laws=r["laws"], published_at=run_ts, **(provenance or {}))
+        manifest.update(r["vol"], status="published", rows=r["n"], laws=r["laws"], published_at=run_ts, output_sha256=fingerprint(spark, f"{path}/vol={r['vol']}"), **(provenance or {}))
     manifest.save()
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """A hash of the files below a path, whatever their names."""
+    each = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(F.sha2("content", 256).alias("h"))
+    return each.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h")).first()["h"]
+
+
 def unpublish(spark: SparkSession, path: str, vol: int, manifest: Manifest) -> None:
     """Drop a volume's partition and its entry."""
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/vol={vol}")
@@ -121,6 +131,11 @@ def write_reports(reports: DataFrame, path: str) -> None:
     reports.write.mode("overwrite").json(path)
 
 
+def output_columns(df: DataFrame) -> list[str]:
+    """The columns of a table as a report sees them: ReviewStatus comes with publication, a run's own columns stay behind."""
+    return [*(c for c in df.columns if c not in ("vol", "xml_index", "counter", "error", "ReviewStatus")), "ReviewStatus"]
+
+
 def filled(df: DataFrame) -> DataFrame:
     """Text columns with '(blank)' for null."""
     return df.fillna("(blank)", subset=[c for c, t in df.dtypes if t == "string"])

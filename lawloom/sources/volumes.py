@@ -31,11 +31,10 @@ LAWS = T.StructType(
 
 
 def volume_files(spark: SparkSession, path: str, volumes: list[int] | None = None) -> DataFrame:
-    """vol, path, content, sha256 of the volumes in a folder. Only the wanted files are read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "STATUTE-*.xml").load(path)
+    """vol, path, content, sha256 of the volumes in a folder. Only the wanted files are listed and read."""
+    names = "*" if volumes is None else "{" + ",".join(map(str, volumes or ["none"])) + "}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"STATUTE-{names}.xml").load(path)
     files = files.select(ids.volume_of(F.col("path")).alias("vol"), "path", "content").where("vol is not null")
-    if volumes is not None:
-        files = files.where(F.col("vol").isin(volumes))
     return files.withColumn("sha256", F.sha2("content", 256))
 
 
@@ -82,7 +81,7 @@ def identified(laws: DataFrame) -> DataFrame:
     return public.withColumn("law_id", law_id).where("law_id is not null")
 
 
-def law_rows(laws: DataFrame, *, strict: bool = False, trim: bool = True, number_rules: list[tuple] = ()) -> DataFrame:
+def law_rows(laws: DataFrame, *, strict: bool = False, compat: bool = False, trim: bool = True, number_rules: list[tuple] = ()) -> DataFrame:
     """The sections and divisions of identified laws. A law that fails gives one row with the error."""
     arrow = _arrow(RAW)
     rules = list(number_rules)
@@ -94,7 +93,7 @@ def law_rows(laws: DataFrame, *, strict: bool = False, trim: bool = True, number
         return None
 
     def run(batches):
-        walker = markup.Walker(strict=strict, trim=trim, number_rules=number if rules else None)
+        walker = markup.Walker(strict=strict, compat=compat, trim=trim, number_rules=number if rules else None)
         for b in batches:
             rows = []
             for r in b.to_pylist():

@@ -99,8 +99,8 @@ def test_registry(spark, tmp_path):
     assert [r.f for r in got.orderBy("id").select(registry.family().alias("f")).collect()] == ["none", "sibling-level"]
     moved = registry.move(got, [1, 2], to="approved", reviewer="r")
     assert [(r.id, r.status, r.reviewer) for r in moved.orderBy("id").collect()] == [(1, "approved", None), (2, "approved", "r")]
-    assert [r.implementation_status for r in registry.backfill(moved).orderBy("id").collect()] == ["not_applicable", "pending"]
-    assert [r.id for r in registry.applied(registry.mark(moved, [2], implementation_status="completed")).orderBy("id").collect()] == [1, 2]
+    assert [r.implementation_status for r in registry.backfill(moved).orderBy("id").collect()] == ["not_required", "pending"]
+    assert [r.id for r in registry.applied(registry.mark(moved, [2], implementation_status="implemented")).orderBy("id").collect()] == [1, 2]
     assert registry.law_id_rules(moved) == [("1-1", "a", "2-2")]
     assert registry.fingerprint([(1, "a"), (2, "b")]) == registry.fingerprint([(2, "b"), (1, "a")])
     (tmp_path / "r.json").write_text(json.dumps({"schema_version": 1, "next_id": 3, "entries": [{"id": 7, "type": "other", "trigger": {"pattern": "p"}}], "rejected": [{"id": 8}]}))
