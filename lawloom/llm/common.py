@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding it."""
     if pa.types.is_large_string(column.type):

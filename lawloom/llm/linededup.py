@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lawloom.llm.common import cut, fresh, utf8
+from lawloom.llm.common import cut, fresh, slices, utf8
 
 MIN_WORDS = 8
 #: Alignments of a pair with a patience diff; runs that are out of order even then are aligned one by one.
@@ -75,7 +75,7 @@ def runs(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """h, c (hash of a run), doc_id, n (its lines), at (places of its first line): a row for each distinct run."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = ([], [], [], [], [])
             for doc, text in zip(b["doc_id"].to_pylist(), utf8(b["text"])):
                 own = _not_blank(text)
@@ -171,7 +171,7 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     place = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("h", pa.int64()), ("c", pa.int32())])
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             gone = [[{"at": p, **{k: s[i][k] for k in ("n", "h", "c")}} for p, i in align(s)] for s in b["shared"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(gone, pa.list_(place))], ["doc_id", "gone"])
 
@@ -204,7 +204,7 @@ def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, counts: bool = F
     whole = isinstance(fields["n_chars"].dataType, T.IntegralType) if "n_chars" in fields else False
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts, n_lines, n_deleted = [], [], []
             for text, lost in zip(utf8(b["text"]), b[gone].to_pylist()):
                 own = text.split(b"\n") if text is not None else []
