@@ -7,15 +7,19 @@ the 8 blocks, so linked fingerprints lie in the same cell of at least one of the
 projection is an equi-join on its cell; within a cell the Manhattan distance filters and the Hamming distance decides.
 
 Equal fingerprints are joined before any pairing, and a cell yields one star of links per group it connects, never its
-pairs. Cells of over ``hot`` fingerprints go another exact way: two fingerprints differ in at most 4 bits if and only
+pairs. A cell of over ``hot`` fingerprints gets a finer grid: the counts that its fingerprints do not share yet are laid
+in eight blocks again, of two counts and then of one, of which linked fingerprints share four. Where even 28 of the 32
+counts are shared by more than ``hot``, another exact way remains: two fingerprints differ in at most 4 bits if and only
 if some word is at most 2 bits away from both, so grouping by such words connects them without comparing pairs.
 
-Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows are given
-back each time; component ids ignore null doc ids unless a component has no other; other columns are left alone.
+Defined results: null and empty texts have fingerprint zero and are linked like any other; a text of any length gives all
+its shingles; an empty table gives no rows; repeated rows are given back each time; component ids ignore null doc ids
+unless a component has no other; other columns are left alone.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -76,18 +80,49 @@ def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(unary(a) ^ unary(b))
 
 
-def _cells(fps: DataFrame) -> DataFrame:
-    blocks = list(combinations(range(8), 8 - BITS))
+#: Grids that are laid into each other, the projections of each, and the low bits of a cell that name them.
+LEVELS = 3
+_CHOICES = list(combinations(range(8), 8 - BITS))
+_PATH = 19
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+@lru_cache(maxsize=8192)
+def _masks(level: int, path: int) -> list[np.uint64]:
+    """The counts that each projection of a grid adds to those that its cell shares."""
+    shared = 0
+    for n in range(level):
+        shared |= int(_masks(n, path % len(_CHOICES) ** n)[path // len(_CHOICES) ** n % len(_CHOICES)])
+    free = [i for i in range(32) if not shared >> 2 * i & 3]
+    size = len(free) // 8
+    blocks = [sum(3 << 2 * i for i in free[n * size : (n + 1) * size]) for n in range(8)]
+    return [np.uint64(sum(blocks[n] for n in some)) for some in _CHOICES]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+def _cells(rows: DataFrame, level: int) -> DataFrame:
+    """cell, fp of the grid inside the cells of ``rows``. A cell is a hash of its counts, and the projections that led to it.
+
+    Cells that share a hash by chance are compared as one: that costs time and changes no link.
+    """
 
     def run(batches):
         for b in batches:
-            fp = b["fp"].to_numpy(zero_copy_only=False).view(np.uint64)
-            parts = embed(fp).view(np.uint8).reshape(-1, 8).astype(np.int64)
-            for n, (p, q, r, s) in enumerate(blocks):
-                cell = n << 32 | parts[:, p] << 24 | parts[:, q] << 16 | parts[:, r] << 8 | parts[:, s]
-                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), b["fp"]], ["cell", "fp"])
+            cell, fps = (b[c].to_numpy(zero_copy_only=False).view(np.uint64) for c in ("cell", "fp"))
+            paths = cell & np.uint64((1 << _PATH) - 1)
+            for path in np.unique(paths).tolist():
+                own = paths == path
+                above, fp = cell[own], fps[own]
+                counts, same = embed(fp), pa.array(fp.view(np.int64))
+                for n, mask in enumerate(_masks(level, path)):
+                    new = _mixed(above ^ _mixed(counts & mask)) >> np.uint64(_PATH) << np.uint64(_PATH) | np.uint64(path + n * len(_CHOICES) ** level)
+                    yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), same], ["cell", "fp"])
 
-    return fps.select("fp").mapInArrow(run, "cell long, fp long")
+    return rows.select("cell", "fp").mapInArrow(run, "cell long, fp long")
 
 
 def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,7 +152,7 @@ def _connect(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _links_in(cell: np.ndarray, fp: np.ndarray, hot: int):
-    """Links of whole cells, rows sorted by cell; rows of cells that are too large come back as (fp, fp)."""
+    """Links of whole cells, rows sorted by cell, and the rows of cells that are too large."""
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.diff(np.r_[first, len(cell)])
     of = np.repeat(size, size)
@@ -131,17 +166,17 @@ def _links_in(cell: np.ndarray, fp: np.ndarray, hot: int):
         a.append(x[near])
         b.append(y[near])
     for at, n in zip(first[size > 24], size[size > 24]):
-        if n > hot:
-            x = y = fp[at : at + n]
-        else:
+        if n <= hot:
             x, y = _connect(fp[at : at + n])
-        a.append(x)
-        b.append(y)
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+            a.append(x)
+            b.append(y)
+    none, large = np.zeros(0, np.uint64), of > hot
+    return np.concatenate([none, *a]), np.concatenate([none, *b]), cell[large], fp[large]
 
 
 def _range_join(cells: DataFrame, hot: int) -> DataFrame:
+    """a, b, cell: links, where cell is null, and the fingerprints a of cells that are too large."""
+
     def run(batches):
         kept: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -150,13 +185,17 @@ def _range_join(cells: DataFrame, hot: int) -> DataFrame:
             kept.clear()
             return c, f
 
-        def hand_on(f):
-            same = pa.array(f.view(np.int64))
-            return pa.RecordBatch.from_arrays([same, same], ["a", "b"])
+        def out(a, b, cell):
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), b, cell], ["a", "b", "cell"])
+
+        def hand_on(c, f):
+            return out(f, pa.nulls(len(f), pa.int64()), pa.array(c))
 
         def links(c, f):
-            x, y = _links_in(c, f, hot)
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["a", "b"])
+            x, y, c, f = _links_in(c, f, hot)
+            yield out(x, pa.array(y.view(np.int64)), pa.nulls(len(x), pa.int64()))
+            if len(c):
+                yield hand_on(c, f)
 
         full = None  # a cell with too many fingerprints; they are handed on as they come
         for batch in batches:
@@ -164,7 +203,7 @@ def _range_join(cells: DataFrame, hot: int) -> DataFrame:
             if full is not None:
                 own = int(np.searchsorted(c, full, side="right"))
                 if own:
-                    yield hand_on(f[:own])
+                    yield hand_on(c[:own], f[:own])
                 c, f = c[own:], f[own:]
             if not len(c):
                 continue
@@ -173,17 +212,17 @@ def _range_join(cells: DataFrame, hot: int) -> DataFrame:
             if kept[0][0][0] == c[-1]:  # one cell so far
                 if sum(len(x) for x, _ in kept) > hot:
                     full = c[-1]
-                    yield hand_on(flush()[1])
+                    yield hand_on(*flush())
                 continue
             c, f = flush()
             last = int(np.searchsorted(c, c[-1]))
-            yield links(c[:last], f[:last])
+            yield from links(c[:last], f[:last])
             kept.append((c[last:], f[last:]))
         c, f = flush()
         if len(c):
-            yield links(c, f)
+            yield from links(c, f)
 
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long, cell long")
 
 
 def _by_middle(hot: DataFrame) -> DataFrame:
@@ -201,13 +240,19 @@ def _by_middle(hot: DataFrame) -> DataFrame:
     return near.join(met, "mid").where("fp <> rep").select(F.col("fp").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def link_fingerprints(fps: DataFrame, *, hot: int = HOT) -> DataFrame:
+def link_fingerprints(fps: DataFrame, *, hot: int = HOT, levels: int = LEVELS) -> DataFrame:
     """fp, root: the fingerprints that have links, and one fingerprint that names their group."""
-    links = cut(_range_join(_cells(fps), hot).distinct())
-    large = links.where("a = b").select(F.col("a").alias("fp"))
-    pairs = links.where("a <> b")
-    if not large.isEmpty():
-        pairs = pairs.unionByName(_by_middle(large))
+    rows = fps.select("fp", F.lit(0).cast("long").alias("cell"))
+    pairs = None
+    for level in range(levels):
+        got = cut(_range_join(_cells(rows, level), hot).distinct())
+        own = got.where("cell is null").select("a", "b")
+        pairs = own if pairs is None else pairs.unionByName(own)
+        rows = got.where("cell is not null").select(F.col("a").alias("fp"), "cell")
+        if rows.isEmpty():
+            break
+    else:
+        pairs = pairs.unionByName(_by_middle(cut(rows.select("fp").distinct())))
     return components(pairs).select(F.col("node").alias("fp"), "root")
 
 

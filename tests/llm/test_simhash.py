@@ -80,9 +80,9 @@ def test_links_of_random_and_dense_fingerprints(spark):
     for x, y in want.items():
         members.setdefault(y, set()).add(signed(x))
     want_sets = {frozenset(m) for m in members.values() if len(m) > 1}
-    for hot in (simhash.HOT, 30):
+    for hot, levels in ((simhash.HOT, 3), (30, 1), (30, 3)):  # one grid, grids within grids, words between
         got = {}
-        for row in simhash.link_fingerprints(df, hot=hot).collect():
+        for row in simhash.link_fingerprints(df, hot=hot, levels=levels).collect():
             got.setdefault(row.root, set()).add(row.fp)
         assert {frozenset(m) for m in got.values()} == want_sets
 
@@ -105,3 +105,29 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(61)) and got[300] == got[200] == 200
     assert {got[x] for a in links for x in a if 100 <= x <= 160} == {100}
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_grids_within_grids_lose_no_pair():
+    import numpy as np
+
+    r = np.random.RandomState(4)
+    a = r.randint(0, 2**63, 3000, np.int64).view(np.uint64)
+    b = a.copy()
+    for _ in range(4):
+        b ^= np.uint64(1) << r.randint(0, 64, len(a)).astype(np.uint64)
+    x, y = simhash.embed(a), simhash.embed(b)
+    share = lambda level, path: [n for n, m in enumerate(simhash._masks(level, path)) if not int(u ^ v) & int(m)]
+    for u, v in zip(x, y):
+        path = 0
+        for level in range(simhash.LEVELS):
+            same = share(level, path)
+            assert same
+            path += int(r.choice(same)) * 70**level
+    for level, path, counts in ((0, 0, 16), (1, 69, 8), (2, 69 + 70 * 3, 4)):
+        assert {int(m).bit_count() for m in simhash._masks(level, path)} == {2 * counts}
+
+
+def test_a_very_long_text_and_an_empty_table(spark):
+    df = spark.createDataFrame([(1, "a b c d e " * 100_000), (2, "a b c d e " * 100_000)], "doc_id long, text string")
+    assert {r.component_id for r in simhash.group_by_simhash(df).collect()} == {1}
+    assert simhash.group_by_simhash(df.limit(0)).count() == 0
