@@ -5,13 +5,14 @@ words is one pattern), and patterns of equal length share one Wu-Manber table: s
 positions where no pattern can end, buckets keyed by a pattern's last block select the patterns to test, and a direct
 comparison of the words confirms each occurrence.
 
-The documents are read once and never shuffled. The benchmark's windows go to the executors as a broadcast whose size
-is checked first; a larger benchmark is dealt into parts of bounded size that are searched one after the other, each
-adding to what the parts before it found.
-
-Defined results: a null text has no words; an empty benchmark hits nothing; benchmark rows without an id or without
-words take no part; rows that repeat an item id count as one item; a repeated document gives a row each time; other
-columns of either table are left alone.
+The documents are never shuffled with their texts. The benchmark's windows go to the executors as a broadcast of bounded
+size: items are cut into chunks that overlap by a window, so that one item can be of any size, and a benchmark of more
+than ``part_bytes`` is dealt into parts. Each part reads the documents again and leaves only what it finds, by a hash of
+the text; these finds meet the documents' hashes in a join.
+
+Defined results: a null text has no words; texts of any length are searched whole; an empty benchmark hits nothing, an
+empty table gives no rows; benchmark rows without an id or without words take no part; rows that repeat an item id count
+as one item; a repeated document gives a row each time; other columns of either table are left alone.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import cut, utf8
+from lawloom.llm.common import cut, fresh, utf8
 
 #: Bytes of benchmark text that are searched at once.
 PART_BYTES = 2_000_000
+#: Words of an item that are one chunk, without what overlaps.
+CHUNK = 20_000
 
 _BLANK = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -111,50 +114,95 @@ def _search(tables: WuManber, text: bytes | None, hits: list[int], items: set[st
     return len(words), merged, sorted(items)
 
 
-def _parts(benchmark: DataFrame, window: int, part_bytes: int) -> Iterator[WuManber]:
+def _chunks(benchmark: DataFrame, window: int) -> DataFrame:
+    """id, t: the items' words in chunks. Every window lies in one of them."""
+
+    def run(batches):
+        for b in batches:
+            out = [(i, b" ".join(w[at : at + CHUNK + window - 1])) for i, t in zip(b["id"].to_pylist(), utf8(b["t"])) for w in [words_of(t)] for at in range(0, max(1, len(w) - window + 1), CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.string()), pa.array([t for _, t in out], pa.binary()).cast(pa.string())], ["id", "t"])
+
     b = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("t")).where("id is not null and t is not null")
+    return b.mapInArrow(run, "id string, t string").where("t <> ''")
+
+
+def _parts(benchmark: DataFrame, window: int, part_bytes: int) -> tuple[int, Iterator[WuManber]]:
+    """How many parts there are, and their tables, one at a time."""
+    b = _chunks(benchmark, window)
     size = b.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     parts = max(1, -(-size // part_bytes))
-    for k in range(parts):
-        rows = b.where(F.pmod(F.xxhash64("id", "t"), F.lit(parts)) == k) if parts > 1 else b
-        yield WuManber([(r["id"], words_of(r["t"].encode())) for r in rows.collect()], window)
+    some = (b.where(F.pmod(F.xxhash64("id", "t"), F.lit(parts)) == k) if parts > 1 else b for k in range(parts))
+    return parts, (WuManber([(r["id"], words_of(r["t"].encode())) for r in rows.collect()], window) for rows in some)
+
+
+def _search_rows(rows: DataFrame, tables: WuManber, keep: list[str]) -> DataFrame:
+    """The columns kept, n_words, hits and items of rows with a text."""
+    shared = rows.sparkSession.sparkContext.broadcast(tables)
+
+    def search(batches):
+        t = shared.value
+        for b in batches:
+            found = [_search(t, x, [], set()) for x in utf8(b["text"])]
+            n, hits, items = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in keep), pa.array(n, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], [*keep, "n_words", "hits", "items"])
+
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(search, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", n_words long, hits array<int>, items array<string>")
+
+
+def _hashes(text="text") -> list[F.Column]:
+    """128 bits of a text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def _found(docs: DataFrame, parts: Iterator[WuManber]) -> DataFrame:
+    """h, g (hashes of a text), hits and items of the texts in which a part of the benchmark occurs."""
+    h, g = _hashes()
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select("text", h.alias("h"), g.alias("g"))
+    each = [cut(_search_rows(texts, tables, ["h", "g"]).where("size(hits) > 0").drop("n_words").distinct()) for tables in parts]
+    out = each[0]
+    for more in each[1:]:
+        out = out.unionByName(more)
+    # hit words and not spans: parts may have found some of them twice
+    spans = F.transform(F.sequence(F.lit(0), F.size("hits") - 2, F.lit(2)), lambda i: F.sequence(F.get("hits", i), F.get("hits", i + 1) - 1))
+    words = out.select("h", "g", F.flatten(spans).alias("words"), "items")
+    return words.groupBy("h", "g").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_words, hits (word spans [start, end, ...), merged and rising) and items (ids, sorted as strings)."""
-    sc = docs.sparkSession.sparkContext
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = base.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
-    parts = _parts(benchmark, window, part_bytes)
-    for k, tables in enumerate(parts):
-        shared = sc.broadcast(tables)
-
-        def search(batches, shared=shared):
-            t = shared.value
-            for b in batches:
-                found = [_search(t, x, h, set(i)) for x, h, i in zip(utf8(b["text"]), b["hits"].to_pylist(), b["items"].to_pylist())]
-                n, hits, items = zip(*found) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays([b["doc_id"], b["text"], pa.array(n, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "hits", "items"])
-
-        if k:
-            out = cut(out)  # one part's tables in memory at a time
-        out = out.mapInArrow(search, "doc_id long, text string, n_words long, hits array<int>, items array<string>")
-    return out.drop("text")
+    n, parts = _parts(benchmark, window, part_bytes)
+    if n == 1:
+        return _search_rows(base, next(parts), ["doc_id"])
+    found = cut(_found(docs, parts))
+    h, g = _hashes()
+    counted = _search_rows(base.withColumns({"h": h, "g": g}), WuManber([], window), ["doc_id", "h", "g"]).drop("hits", "items")
+    joined = counted.join(found, ["h", "g"], "left")
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    words = F.coalesce("words", none("int"))
+    joined = joined.withColumn("words", words)
+    starts = F.filter("words", lambda x, i: (i == 0) | (F.get("words", i - 1) != x - 1))
+    ends = F.transform(F.filter("words", lambda x, i: (i == F.size("words") - 1) | (F.get("words", i + 1) != x + 1)), lambda x: x + 1)
+    return joined.select("doc_id", "n_words", F.flatten(F.zip_with(starts, ends, lambda a, b: F.array(a, b))).alias("hits"), F.coalesce("items", none("string")).alias("items"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, part_bytes: int = PART_BYTES) -> DataFrame:
     """The documents, all columns as they were, in which no window of the benchmark occurs."""
-    sc = docs.sparkSession.sparkContext
-    for k, tables in enumerate(_parts(benchmark, window, part_bytes)):
-        shared = sc.broadcast(tables)
-
-        def clean(batches, shared=shared):
-            t = shared.value
-            for b in batches:
-                yield b.filter(pa.array([next(t.find(words_of(x)), None) is None for x in utf8(b["text"])], pa.bool_()))
-
-        docs = (cut(docs) if k else docs).mapInArrow(clean, docs.schema)
-    return docs
+    n, parts = _parts(benchmark, window, part_bytes)
+    if n > 1:
+        found = cut(_found(docs, parts).select("h", "g"))
+        names = fresh(docs, "h", "g")
+        keyed = docs.withColumns(dict(zip(names, _hashes(F.col("text").cast("string")))))
+        return keyed.join(found.toDF(*names), names, "left_anti").select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(next(parts))
+
+    def clean(batches):
+        t = shared.value
+        for b in batches:
+            yield b.filter(pa.array([next(t.find(words_of(x)), None) is None for x in utf8(b["text"])], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def report(found: DataFrame) -> DataFrame:

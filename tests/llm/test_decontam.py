@@ -49,6 +49,18 @@ def test_equals_brute_force_whole_and_in_parts(spark):
         assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, items, window)
 
 
+def test_chunks_hold_every_window(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "CHUNK", 3)
+    r = random.Random(6)
+    long = " ".join(f"w{r.randint(0, 5)}" for _ in range(300))
+    docs = [(i, " ".join(long.split()[a : a + r.randint(1, 20)])) for i, a in enumerate(range(0, 300, 7))] + [(900, long)]
+    items = [(1, long), (2, "w1"), (3, "w2 w3")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for part in (10**6, 50):
+        got = decontam.report(decontam.find_leaks(d, b, window=6, part_bytes=part))
+        assert sorted((tuple(x) for x in got.collect()), key=str) == brute(docs, items, 6)
+
+
 def test_filter_keeps_clean_rows_as_they_were(spark):
     docs, items = tables(spark)
     d = spark.createDataFrame([(*x, 5) for x in docs], "doc_id long, text string, hits int")
