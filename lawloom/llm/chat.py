@@ -14,8 +14,8 @@ control string (this template's own and those of other common ones), which unesc
 end are tokenized apart, so the loss mask covers exactly the texts of assistants.
 
 Defined results: null texts and roles are empty; turns are ordered by turn, then role and text (null turns first), and
-repeated rows are turns of their own; rows of a null conversation id are one conversation; an empty table gives
-nothing; other columns are left alone. A single conversation is held by one task, like a document.
+repeated rows are turns of their own; a row without a conversation id is a conversation of its own, of one turn; an empty
+table gives nothing; other columns are left alone. A single conversation is held by one task, like a document.
 """
 
 from __future__ import annotations
@@ -64,7 +64,9 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def paths(conversations: DataFrame, tokenizer: str) -> DataFrame:
     """A row for each turn: conv_id, path (names of the nodes down to its own), position, ids, loss span, whether it is the last."""
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    convs = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    conv = F.col("conv_id").cast("long")
+    own = conversations.select(conv.alias("conv_id"), F.when(conv.isNull(), F.monotonically_increasing_id()).alias("row"), turn.alias("t"))
+    convs = own.groupBy("conv_id", "row").agg(F.sort_array(F.collect_list("t")).alias("turns")).drop("row")
     names = ["conv_id", "path", "position", "ids", "loss_from", "loss_to", "n_turns", "last"]
     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
@@ -178,7 +180,7 @@ def format_conversations(conversations: DataFrame, tokenizer: str) -> tuple[Data
     """The packed nodes, and for each conversation its id, number of turns and path of nodes."""
     turns = cut(paths(conversations, tokenizer))
     members = turns.where("last").select("conv_id", "n_turns", "path")
-    return cut(pack(turns)), members
+    return pack(turns), members
 
 
 def read_back(packed: DataFrame, members: DataFrame, tokenizer: str) -> DataFrame:
@@ -187,10 +189,12 @@ def read_back(packed: DataFrame, members: DataFrame, tokenizer: str) -> DataFram
     That these are what the last node attends to is checked on the way.
     """
     ups = F.transform(F.sequence(F.lit(0), F.expr(f"int(octet_length(path) / {_NAME}) - 1")), lambda i: F.col("path").substr(i * _NAME + 1, F.lit(_NAME)))
-    wanted = members.select("path").distinct().select("path", F.explode(ups).alias("node"))
-    last = F.expr(f"substring(path, -{_NAME})") == F.col("node")
+    leaf = F.expr(f"substring(path, -{_NAME})")  # its name stands for the whole path
+    wanted = members.select("path").distinct().select(leaf.alias("leaf"), F.explode(ups).alias("node"))
+    members = members.select("conv_id", "n_turns", leaf.alias("leaf"))
+    last = F.col("leaf") == F.col("node")
     parts = wanted.join(packed.select("node", "start", "length", "position", "ids", "loss_from", "loss_to", "ancestors"), "node")
-    whole = parts.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("position", "start", "length", "ids", "loss_from", "loss_to", F.when(last, F.col("ancestors")).alias("ancestors")))).alias("parts"))
+    whole = parts.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("position", "start", "length", "ids", "loss_from", "loss_to", F.when(last, F.col("ancestors")).alias("ancestors")))).alias("parts"))
 
     def run(batches):
         decode = Encoder.of(tokenizer).decode
@@ -204,9 +208,9 @@ def read_back(packed: DataFrame, members: DataFrame, tokenizer: str) -> DataFram
                     raise ValueError("a node's intervals are not those of the nodes above it")
                 full.append(decode(b"".join(x["ids"] for x in nodes)))
                 loss.append("".join(unescape(decode(x["ids"][4 * x["loss_from"] : 4 * x["loss_to"]])) for x in nodes if x["loss_to"] > x["loss_from"]))
-            yield pa.RecordBatch.from_arrays([b["path"], pa.array(full, pa.string()), pa.array(loss, pa.string())], ["path", "formatted", "loss_text"])
+            yield pa.RecordBatch.from_arrays([b["leaf"], pa.array(full, pa.string()), pa.array(loss, pa.string())], ["leaf", "formatted", "loss_text"])
 
-    return members.join(whole.mapInArrow(run, "path binary, formatted string, loss_text string"), "path").drop("path")
+    return members.join(whole.mapInArrow(run, "leaf binary, formatted string, loss_text string"), "leaf").drop("leaf")
 
 
 def digest(texts: DataFrame) -> DataFrame:

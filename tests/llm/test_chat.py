@@ -84,3 +84,11 @@ def test_empty(spark):
     packed, members = chat.format_conversations(df, PATH)
     assert packed.count() == members.count() == 0
     assert chat.digest(chat.read_back(packed, members, PATH)).count() == 0
+
+
+def test_rows_without_an_id_and_many_turns(spark):
+    rows = [(None, 0, "user", "same"), (None, 1, "assistant", "same"), (None, 0, "user", "same")] + [(1, t, ["user", "assistant"][t % 2], f"t{t}") for t in range(1500)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    packed, members = chat.format_conversations(df, PATH)
+    got = sorted((r.conv_id or 0, r.n_turns, r.loss_chars) for r in chat.digest(chat.read_back(packed, members, PATH)).collect())
+    assert got == [(0, 1, 0), (0, 1, 0), (0, 1, 4), (1, 1500, sum(len(f"t{t}") for t in range(1, 1500, 2)))]
