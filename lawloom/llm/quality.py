@@ -26,7 +26,7 @@ from lawloom.llm import samples
 from lawloom.llm.grams import codes, hashed, sigmoid
 
 #: Labelled rows that the model is fitted on, at most.
-ROWS = 8_000
+ROWS = 5_000
 BITS = 12
 SIZES = (1, 2, 3)
 WORD_BITS = 16
