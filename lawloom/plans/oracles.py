@@ -231,3 +231,127 @@ select doc_id, unnest(range(1, len(l) + 1)) as line_no, cast(unnest(range(1, len
 SQL["json_extract"] = "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events"
 SQL["incremental_skip"] = "select o_orderkey, md5(o_orderstatus || '|' || o_orderpriority || '|' || o_custkey) as digest from orders where o_orderkey % 2 <> 0 or o_orderkey % 10 = 0"
 SQL["incremental_state"] = "select o_orderkey, case when o_orderkey % 4 = 0 then 'new' when o_orderkey % 4 = 1 then case when o_orderkey % 3 = 0 then 'new' else 'skip' end else 'stale' end as state from orders"
+
+# The registry and the workflow around it.
+_ENTRY_KIND = "case s_suppkey % 3 when 0 then 'law_id' when 1 then 'section_number' else 'other' end"
+_IMPL = "case when s_suppkey % 7 = 0 then 'failed' when s_suppkey % 7 = 1 then 'implemented' end"
+SQL["registry_append"] = f"""
+with old as (
+  select {_ENTRY_KIND} as type, cast(s_nationkey as varchar) as pattern, cast(s_suppkey % 4 as varchar) as description, count(*) - 1 as c from supplier group by all
+), new as (
+  select case c_custkey % 4 when 0 then 'law_id' when 1 then 'other' else 'section_number' end as type, cast(c_nationkey as varchar) as pattern, cast(c_custkey % 8 as varchar) as description, count(*) as k
+  from customer where c_custkey % 4 <> 3 group by all
+)
+select type, pattern, description, 'pending' as status, c + coalesce(k, 0) as seen_again_count, false as is_new from old left join new using (type, pattern, description)
+union all select type, pattern, description, 'pending', k - 1, true from new where not exists (select 1 from old where old.type = new.type and old.pattern = new.pattern and old.description = new.description)
+"""
+SQL["registry_review"] = f"""
+with e as (
+  select s_suppkey as id, case when s_suppkey % 5 = 0 or s_suppkey <= 6 then 'approved' when s_suppkey <= 8 then 'rejected' else 'pending' end as status,
+    case when s_suppkey % 5 = 0 then null when s_suppkey <= 6 then 'r' when s_suppkey <= 8 then 's' end as reviewer, case when s_suppkey % 5 = 0 then null when s_suppkey <= 6 then '' when s_suppkey <= 8 then 'no' end as review_note,
+    case when s_suppkey in (2, 3) then 'in_progress' else coalesce({_IMPL}, case when s_suppkey % 3 = 2 then 'pending' else 'not_required' end) end as implementation_status from supplier
+)
+select *, status = 'approved' and implementation_status in ('not_required', 'implemented', 'manual_override') as applied from e
+"""
+SQL["status_fan_out"] = f"""
+select case when s_suppkey % 5 = 0 then 'active' else 'pending' end as file, s_suppkey as id, case when s_suppkey in (5, 6, 7) then 'implemented' else {_IMPL} end as implementation_status,
+  case when s_suppkey in (5, 6, 7) then 'abc' end as implementation_commit_sha from supplier
+"""
+SQL["proposals_to_entries"] = """
+select case when event_id % 4 = 0 then 'law_id' else 'other' end as type, event_type as pattern, 0::bigint as n_correction, user_id::integer as discovered_in_vol, 'v' as agent_version, 0.5::double as confidence,
+  'pending' as status, user_id::integer as run_vol, 0::bigint as seen_again_count from events where event_id % 4 <> 2
+"""
+_ISSUES = """
+issues as (
+  select source as citable_as, case when doc_id % 2 = 0 then 7 else doc_id % 9 end::integer as volume, lang as issue, cast(doc_id % 50 as varchar) as line_numbers,
+    case when length(coalesce(text, '')) > 32000 then left(text, 32000) || '…<TRUNCATED>' else coalesce(text, '') end as says from documents
+)"""
+SQL["issue_rows"] = f"with {_ISSUES} select citable_as, volume, '' as congress, issue, length(says)::bigint as n_chars, md5(says) as text_md5, line_numbers from issues"
+SQL["issue_log"] = f"with {_ISSUES} select distinct lower(citable_as) as citable_as, volume, issue, line_numbers from issues where volume >= 4"
+SQL["issue_coverage"] = """
+with e as (select (event_id % 40)::integer as vol, event_type from events),
+a as (select vol, count(*) as expected from e where event_type = 'view' or vol < 20 group by vol),
+b as (select vol, count(*) as returned from e where vol % 3 > 0 and event_type <> 'view' group by vol)
+select vol, expected, coalesce(returned, 0) as returned, coalesce(returned, 0) < expected as under from a left join b using (vol)
+"""
+SQL["coder_gates"] = """
+select p_partkey, case when p_partkey % 5 = 0 then 'status: failed' when p_partkey % 5 = 4 then 'status: none' when p_partkey % 3 = 0 then 'out-of-scope file: ' || p_brand
+  when p_partkey % 3 = 1 then 'forbidden file modified: pipeline/corrections_registry.py' when p_partkey % 2 = 1 then 'no new tests' end as why from part
+"""
+SQL["family_batches"] = """
+select case s_suppkey % 4 when 0 then 'sibling-level' else 'null-num' end as family, max(s_suppkey) as task_id, string_agg(s_suppkey, '|' order by s_suppkey) as entry_ids
+from supplier where s_suppkey % 4 < 2 and s_suppkey % 7 > 1 group by family
+"""
+SQL["affected_volumes"] = "select (o_orderkey % 5000)::integer as vol from orders where o_custkey % 3 = 0 union select s_nationkey::integer from supplier where s_suppkey = 1"
+SQL["last_runs"] = "select o_custkey, array_to_string(list(o_orderkey order by o_orderkey)[-5:], '|') as runs from orders group by o_custkey"
+SQL["duplicate_context"] = """
+with o as (select o_custkey as k, case when o_orderkey % 9 > 0 then o_orderpriority end as law from orders),
+g as (select k, count(*) as n from o group by k having count(*) > 1),
+laws as (select distinct k, law, case law when '1-URGENT' then (select n_name from nation where n_nationkey = 0) when '2-HIGH' then (select n_name from nation where n_nationkey = 1) end as cited from o where law is not null),
+told as (select k, string_agg(law, '|' order by law) as ids, string_agg(law || ':' || coalesce(cited, law) || ':' || case when cited is null then '' else 'a/b' end, '|' order by law) as context from laws group by k)
+select g.k as "UniqueKey", n, least(n, 6)::bigint as n_rows, n > 6 as truncated, coalesce(ids, '') as law_identifiers, coalesce(context, '') as context from g left join told using (k)
+"""
+
+_TABLE = """
+t as (
+  select (l_orderkey % 7 + 110)::integer as vol, case when l_orderkey % 97 = 0 then '81-175' when l_orderkey % 89 = 0 then 'none' else (l_orderkey % 60 + 60) || '-' || (l_orderkey % 500) end as law,
+    case when l_orderkey % 194 = 0 then 'Social Security Amendments' else 'An Act' end as title, case when l_linestatus = 'O' then 'Section' when l_orderkey % 301 = 0 then 'Chapter' else 'Division' end as kind from lineitem
+)"""
+SQL["schema_diff"] = """
+select distinct (l_orderkey % 7 + 110)::integer as vol,
+  'missing columns: KeyVersion, ContentHash, OriginalOrder, Order, LawType, approvedDate, IsAppropriation, Division, Title, SubTitle, Chapter, SubChapter, DivisionHeadingLevel1, DivisionHeadingLevel2, DivisionHeadingLevel3, Agencies_Row, Agencies_Law' as missing,
+  'extra columns: more' as extra, 'failed' as status from lineitem
+"""
+SQL["law_count_check"] = f"""
+with {_TABLE}, c as (select vol, count(distinct law) as here, coalesce(count(distinct law) filter (kind = 'Section'), 0) as there, count(*) filter (law = 'none') as bad from t group by vol)
+select vol, case when here <> there then here || ' laws in the table, ' || there || ' in the source' else '' end as said, case when bad > 0 then bad || ' rows with a malformed LawIdentifier, such as none' else '' end as malformed from c
+"""
+SQL["appropriation_laws"] = f"""
+with {_TABLE}
+select distinct vol, law as "LawIdentifier", title as "LawTitle", exists (select 1 from t d where d.vol = t.vol and d.law = t.law and d.kind = 'Division') as is_appropriation from t where kind = 'Section'
+"""
+SQL["dictionary_volumes"] = """
+with n as (select lower(p_type) as term, min(p_partkey % 5) as vol from part group by 1)
+select lower(r_name) as term, r_regionkey + 1 as id from region
+union all select term, (select count(*) from region) + row_number() over (order by vol, term) from n
+"""
+SQL["older_codes"] = "select p_partkey, case when p_partkey % 3 < 2 then lpad(cast(ascii(upper(left(p_name, 1))) - 64 as varchar), 3, '0') else '000' end as code from part"
+SQL["files_to_fetch"] = "select o_orderkey as vol, o_orderstatus from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')"
+
+# Markup along every path of containers.
+_PATHS = "['', 'level', 'title/level', 'title', 'title/chapter/level', 'title/chapter', 'title/part/chapter/level', 'title/part/chapter', 'title/subtitle/level', 'title/subtitle', 'division', 'division/title/subtitle/level', 'division/title/subtitle', 'division/title/level', 'division/title', 'title/part', 'division/title/chapter', 'division/title/part/chapter', 'title/chapter/subchapter']"
+_BLOCK_PATHS = "['', 'title/chapter', 'title/part/chapter', 'title', 'division/title', 'division']"
+
+
+def _labels(parts: str) -> str:
+    return ", ".join(f"case when list_contains({parts}, '{c.lower()}') then '{c.upper()} 1' end as \"{c}\"" for c in ("Division", "Title", "SubTitle", "Chapter", "SubChapter"))
+
+
+def _walk(n: int) -> str:
+    return f"""
+with p as (select *, string_split({_PATHS}[p_partkey % {n} + 1], '/') as path from part)
+select p_partkey, 'Section' as "EntryType", {_labels("path")}, 'SEC. ' || p_size || '.' as "SectionNumber", p_name as "SectionName", null::varchar as "DivisionHeadingLevel1", null::varchar as "DivisionHeadingLevel2", p_type as "Text" from p
+"""
+
+
+SQL["walk_paths"], SQL["walk_paths_strict"] = _walk(19), _walk(15)
+SQL["walk_blocks"] = f"""
+with p as (select *, string_split({_BLOCK_PATHS}[p_partkey % 6 + 1], '/') as path from part)
+select p_partkey, 'Division' as "EntryType", {_labels("path")}, null::varchar as "SectionNumber", null::varchar as "SectionName", p_brand as "DivisionHeadingLevel1", p_name as "DivisionHeadingLevel2", p_type as "Text" from p
+"""
+SQL["walk_compat"] = """
+with c as (select unnest([null, 'CHAPTER 1', 'CHAPTER 2']) as chapter), r as (select unnest([1, 2, 3]) as n)
+select p_partkey, case when n = 3 then 'Division' else 'Section' end as "EntryType", 'D' as "Division", 'T' as "Title", null::varchar as "SubTitle", chapter as "Chapter", null::varchar as "SubChapter",
+  case when n < 3 then n::varchar end as "SectionNumber", null::varchar as "SectionName", case when n = 3 then 'H' end as "DivisionHeadingLevel1", null::varchar as "DivisionHeadingLevel2",
+  case n when 1 then p_type when 2 then p_name else p_brand end as "Text" from part, c, r
+"""
+SQL["walk_recovery"] = """
+select p_partkey, 'Section' as "EntryType", null::varchar as "Division", null::varchar as "Title", null::varchar as "SubTitle", null::varchar as "Chapter", null::varchar as "SubChapter",
+  case p_partkey % 5 when 0 then '9' when 1 then null else '1' end as "SectionNumber", null::varchar as "SectionName", case when p_partkey % 5 < 2 then 'PART I-X' end as "DivisionHeadingLevel1",
+  case when p_partkey % 5 = 1 then p_brand end as "DivisionHeadingLevel2",
+  case p_partkey % 5 when 0 then p_type when 2 then '(a) ' || p_name || chr(10) || '(b) y' when 4 then p_name || chr(10) || 'two' else p_name end as "Text" from part
+"""
+SQL["law_sequence"] = """
+with s as (select (s_nationkey + 100)::integer as vol, s_suppkey as k, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as i from supplier)
+select vol, i::integer as xml_index, 'Public Law 99-' || k as citable_as, k as law_number, k % 4 <> 0 as is_public, (2 + 3 * i)::integer as sourceline, (4 + 3 * i)::integer as line_end, 'uslm/pLaw' as tag_path from s
+"""

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from lawloom.functions import codes, ids, text
 from lawloom.functions.jsonblob import json_blob
-from lawloom.operators import anomalies, enrich, passes, registry, rules, segment, validate
-from lawloom.sources import publish, volumes
+from lawloom.operators import anomalies, enrich, passes, registry, rules, segment, validate, workflow
+from lawloom.schemas import ENTRY
+from lawloom.sources import markup, publish, volumes, workspace
 from lawloom.streaming import incremental
 
 #: Terms that tagging queries look for.
@@ -101,7 +102,8 @@ def existence_semi(spark, sf_dir):
 
 @query
 def missing_anti(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left_anti")
+    lacking = workspace.to_fetch(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("vol")), _t(spark, sf_dir, "labels").select(F.col("doc_id").alias("vol")))
+    return lacking.withColumnRenamed("vol", "doc_id")
 
 
 def _tagged(spark, sf_dir):
@@ -377,8 +379,8 @@ def active_over_pending(spark, sf_dir):
 
 @query
 def sme_view(spark, sf_dir):
-    s = selection_sample(spark, sf_dir)
-    return s.where("selection = 1").orderBy("lang", "order_no").select("lang", "order_no", "doc_id")
+    s = selection_sample(spark, sf_dir).withColumnsRenamed({"selection": "Selection", "order_no": "Order"})
+    return publish.review_view(s).select("lang", F.col("Order").alias("order_no"), "doc_id")
 
 
 @query
@@ -397,8 +399,9 @@ def blank_fill(spark, sf_dir):
 
 @query
 def review_merge(spark, sf_dir):
-    d, b = _t(spark, sf_dir, "documents").select("doc_id", "lang"), _t(spark, sf_dir, "labels")
-    return d.join(b, "doc_id", "left").select("doc_id", "lang", F.coalesce(F.when(F.col("quality") == 1, "Approved").when(F.col("quality") == 0, "Rejected"), F.lit("Pending")).alias("review_status"))
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("UniqueKey"), "lang", F.lit("Pending").alias("ReviewStatus"))
+    b = _t(spark, sf_dir, "labels").select(F.col("doc_id").alias("UniqueKey"), F.when(F.col("quality") == 1, "Approved").when(F.col("quality") == 0, "Rejected").alias("ReviewStatus"))
+    return publish.merge_reviews(d, b).select(F.col("UniqueKey").alias("doc_id"), "lang", F.col("ReviewStatus").alias("review_status"))
 
 
 @query
@@ -441,3 +444,241 @@ def incremental_state(spark, sf_dir):
 def anomaly_report(spark, sf_dir):
     """The first 80 anomalies: a report."""
     return anomalies.top(sequence_anomalies(spark, sf_dir).select("user_id", "event_id", "kind"), ["user_id", "event_id", "kind"])
+
+
+def _entries(spark, sf_dir):
+    """Suppliers as registry entries: kinds, triggers and states by their numbers."""
+    k = F.col("s_suppkey")
+    m = lambda name, v: F.create_map(F.lit(name), v.cast("string"))
+    kind = F.when(k % 3 == 0, "law_id").when(k % 3 == 1, "section_number").otherwise("other")
+    base = _t(spark, sf_dir, "supplier").select(k.cast("long").alias("id"), kind.alias("type"), m("pattern", F.col("s_nationkey")).alias("trigger"), m("description", k % 4).alias("correction"), F.when(k % 5 == 0, "approved").otherwise("pending").alias("status"), F.col("s_nationkey").cast("int").alias("discovered_in_vol"), F.when(k % 7 == 0, "failed").when(k % 7 == 1, "implemented").alias("implementation_status"))
+    have = {f: t for f, t in base.dtypes}
+    return base.select(*(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in ENTRY))
+
+
+@query
+def registry_append(spark, sf_dir):
+    """Proposals into a registry: known ones are counted, new ones come in once."""
+    old = registry.append_pending(_entries(spark, sf_dir).limit(0), _entries(spark, sf_dir).withColumn("proposed_at", F.lit("a")), next_id=1)
+    c = _t(spark, sf_dir, "customer")
+    kind = F.when(F.col("c_custkey") % 4 == 0, "law_id").when(F.col("c_custkey") % 4 == 1, "other").when(F.col("c_custkey") % 4 == 2, "section_number").otherwise("strange")
+    m = lambda name, v: F.create_map(F.lit(name), v.cast("string"))
+    new = c.select(kind.alias("type"), m("pattern", F.col("c_nationkey")).alias("trigger"), m("description", F.col("c_custkey") % 8).alias("correction"), F.lit("b").alias("proposed_at"))
+    got = registry.append_pending(old, new, next_id=1_000_000)
+    return got.select("type", F.element_at("trigger", "pattern").alias("pattern"), F.element_at("correction", "description").alias("description"), "status", "seen_again_count", (F.col("id") >= 1_000_000).alias("is_new"))
+
+
+@query
+def registry_review(spark, sf_dir):
+    """Promotion, rejection, marking and backfill; which entries may be called applied."""
+    e = _entries(spark, sf_dir)
+    e = registry.move(e, [1, 2, 3, 4, 5, 6], to="approved", reviewer="r", at="now")
+    e = registry.move(e, [7, 8, 5], to="rejected", reviewer="s", note="no")
+    e = registry.backfill(registry.mark(e, [2, 3], implementation_status="in_progress"))
+    done = registry.applied(e).select("id", F.lit(True).alias("applied"))
+    return e.join(done, "id", "left").select("id", "status", "reviewer", "review_note", "implementation_status", F.coalesce("applied", F.lit(False)).alias("applied"))
+
+
+@query
+def status_fan_out(spark, sf_dir):
+    e = _entries(spark, sf_dir)
+    tables = {"active": e.where("status = 'approved'"), "pending": e.where("status = 'pending'")}
+    out = workflow.fan_out(tables, [5, 6, 7], "implemented", sha="abc")
+    return segment.union_tagged({k: v.select("id", "implementation_status", "implementation_commit_sha") for k, v in out.items()}, "file")
+
+
+@query
+def proposals_to_entries(spark, sf_dir):
+    """Reviewers' answers in free text into entries."""
+    k = F.col("event_id")
+    kind = F.when(k % 4 == 0, '"type": "law_id", ').when(k % 4 == 1, '"type": "other", ').when(k % 4 == 2, '"type": "odd", ').otherwise("")
+    said = F.concat(F.lit('So: {"proposals": [{'), kind, F.lit('"trigger": {"pattern": "'), F.col("event_type"), F.lit('"}, "more": 1, "confidence": 0.5}], "issues": []} - end'))
+    e = _t(spark, sf_dir, "events").select(F.col("user_id").cast("int").alias("vol"), workflow.answers(json_blob(said)).alias("a"))
+    got = workflow.entries(e.select("vol", F.inline("a.proposals")), agent_version="v", at="now")
+    return got.select("type", F.element_at("trigger", "pattern").alias("pattern"), F.size("correction").cast("long").alias("n_correction"), "discovered_in_vol", "agent_version", "confidence", "status", F.get("applied_in_runs", 0)["vol"].alias("run_vol"), "seen_again_count")
+
+
+def _issues(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents")
+    return d.select((F.col("doc_id") % 9).cast("int").alias("vol"), F.when(F.col("doc_id") % 2 == 0, 7).cast("int").alias("volume"), F.col("source").alias("citable_as"), F.lit(None).cast("string").alias("congress"), F.col("lang").alias("issue"), F.lit(None).cast("string").alias("should_say"), F.col("text").alias("text_says"), F.lit("x").alias("location_in_xml"), (F.col("doc_id") % 50).cast("string").alias("line_numbers"))
+
+
+@query
+def issue_rows(spark, sf_dir):
+    r = workflow.issue_rows(_issues(spark, sf_dir))
+    return r.select(F.col("Citable As").alias("citable_as"), F.col("Volume").alias("volume"), F.col("Congress").alias("congress"), "issue", F.length("text_says").cast("long").alias("n_chars"), F.md5("text_says").alias("text_md5"), "line_numbers")
+
+
+@query
+def issue_log(spark, sf_dir):
+    """New issues by volume, citation, lines and issue, whatever the letter case."""
+    rows = workflow.issue_rows(_issues(spark, sf_dir))
+    there = rows.where("Volume < 4").withColumns({"issue": F.upper("issue"), "Citable As": F.concat(F.lit(" "), F.col("Citable As"))})
+    return workflow.new_issues(there, rows).select(F.lower("Citable As").alias("citable_as"), F.col("Volume").alias("volume"), "issue", "line_numbers")
+
+
+@query
+def issue_coverage(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select((F.col("event_id") % 40).cast("int").alias("vol"), "event_type")
+    return workflow.coverage(e.where("event_type = 'view' or vol < 20"), e.where("vol % 3 > 0 and event_type <> 'view'"))
+
+
+@query
+def coder_gates(spark, sf_dir):
+    k = F.col("p_partkey")
+    status = F.when(k % 5 == 0, "failed").when(k % 5 < 4, "success")
+    files = F.when(k % 3 == 0, F.array(F.lit("parser/a.py"), F.col("p_brand"))).when(k % 3 == 1, F.array(F.lit("tests/x.py"), F.lit("pipeline/corrections_registry.py"))).otherwise(F.array(F.lit("pipeline/b.py")))
+    return _t(spark, sf_dir, "part").select("p_partkey", workflow.gate(status, files, F.when(k % 2 == 0, F.array(F.lit("t")))).alias("why"))
+
+
+@query
+def family_batches(spark, sf_dir):
+    """Families of entries and the batch that each becomes."""
+    e = _entries(spark, sf_dir).withColumns({"type": F.lit("other"), "trigger": F.create_map(F.lit("pattern"), F.when(F.col("id") % 4 == 0, "sibling <level>").when(F.col("id") % 4 == 1, "SectionNumber is NULL").otherwise("else"))})
+    b = workflow.task(workflow.family_members(registry.backfill(e), pending_only=True))
+    return b.select("family", "task_id", F.array_join(F.transform("entry_ids", lambda i: i.cast("string")), "|").alias("entry_ids"))
+
+
+@query
+def affected_volumes(spark, sf_dir):
+    """The volumes that entries of a family concern: by their reports, and where they were found."""
+    o = _t(spark, sf_dir, "orders")
+    said = F.when(F.col("o_custkey") % 3 == 0, F.array(F.concat(F.col("o_orderkey").cast("string"), F.lit(" rows share a UniqueKey")))).otherwise(F.array(F.lit("text coverage 0.1")))
+    reports = o.select((F.col("o_orderkey") % 5000).cast("int").alias("vol"), said.alias("warnings"), F.array().cast("array<string>").alias("failed"))
+    entry = _entries(spark, sf_dir).where("id = 1").withColumn("trigger", F.create_map(F.lit("pattern"), F.lit("Two sibling <LEVEL> blocks")))
+    return registry.volumes_of(entry, reports)
+
+
+@query
+def last_runs(spark, sf_dir):
+    g = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("runs"))
+    return g.select("o_custkey", F.array_join(F.transform(workflow.last_runs(F.col("runs")), lambda x: x.cast("string")), "|").alias("runs"))
+
+
+@query
+def duplicate_context(spark, sf_dir):
+    """Repeated keys with their laws and what is known of those."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("UniqueKey"), F.col("o_orderkey").alias("OriginalOrder"), F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderpriority")).alias("LawIdentifier"))
+    laws = _t(spark, sf_dir, "nation").select(F.concat_ws("-", (F.col("n_nationkey") + 1).cast("string"), F.when(F.col("n_nationkey") == 0, "URGENT").otherwise("HIGH")).alias("LawIdentifier"), F.col("n_name").alias("citable_as"), F.lit(None).cast("string").alias("statutes_citation"), F.col("n_nationkey").cast("int").alias("sourceline"), F.lit(9).alias("line_end"), F.lit("a/b").alias("tag_path")).where("sourceline < 2")
+    g = anomalies.duplicate_context(o, laws, fields=["LawIdentifier"])
+    told = F.transform("per_law_context", lambda c: F.concat_ws(":", c["law_identifier"], c["citable_as"], c["tag_path"]))
+    return g.select("UniqueKey", "n", F.size("rows").cast("long").alias("n_rows"), "truncated", F.array_join("law_identifiers", "|").alias("law_identifiers"), F.array_join(told, "|").alias("context"))
+
+
+@query
+def schema_diff(spark, sf_dir):
+    """A table that lacks columns and has others: what its report says."""
+    t = _table(spark, sf_dir).withColumn("more", F.lit(1))
+    r = validate.report(validate.measures(t, ["vol"]), columns=publish.output_columns(t))
+    starts = lambda c, p: F.filter(c, lambda x: F.startswith(x, F.lit(p)))
+    return r.select("vol", F.array_join(starts("failed", "missing columns"), "|").alias("missing"), F.array_join(starts("warnings", "extra columns"), "|").alias("extra"), "status")
+
+
+@query
+def law_count_check(spark, sf_dir):
+    """Laws of a table against those of its source, as the report warns of them."""
+    t = _table(spark, sf_dir)
+    public = t.where("EntryType = 'Section'").groupBy("vol").agg(F.countDistinct("LawIdentifier").alias("public_count"))
+    r = validate.report(validate.measures(t, ["vol"]), public)
+    said = F.array_join(F.filter("warnings", lambda x: F.contains(x, F.lit("in the source"))), "|")
+    return r.select("vol", said.alias("said"), F.array_join(F.filter("failed", lambda x: F.contains(x, F.lit("malformed"))), "|").alias("malformed"))
+
+
+@query
+def appropriation_laws(spark, sf_dir):
+    return workspace.appropriation_laws(_table(spark, sf_dir).distinct()).withColumnRenamed("isAppropriation", "is_appropriation")
+
+
+@query
+def dictionary_volumes(spark, sf_dir):
+    """A dictionary grown by many volumes at once, numbered as if one by one."""
+    known = _t(spark, sf_dir, "region").select(F.lower("r_name").alias("term"), (F.col("r_regionkey") + 1).alias("id"))
+    terms = _t(spark, sf_dir, "part").select((F.col("p_partkey") % 5).alias("vol"), F.concat(F.lit(" "), F.upper(F.col("p_type"))).alias("term"))
+    return enrich.grow_dictionary(known, terms)
+
+
+@query
+def older_codes(spark, sf_dir):
+    said = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Division "), F.col("p_name"))).when(F.col("p_partkey") % 3 == 1, F.col("p_name")).when(F.col("p_partkey") % 2 == 0, "7 x")
+    return _t(spark, sf_dir, "part").select("p_partkey", codes.first_letter_code(said, "DIVISION").alias("code"))
+
+
+@query
+def files_to_fetch(spark, sf_dir):
+    """Orders of an index that a folder lacks."""
+    index = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("vol"), "o_orderstatus")
+    return workspace.to_fetch(index, _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("vol")))
+
+
+WALK_PATHS = ["", "level", "title/level", "title", "title/chapter/level", "title/chapter", "title/part/chapter/level", "title/part/chapter", "title/subtitle/level", "title/subtitle", "division", "division/title/subtitle/level", "division/title/subtitle", "division/title/level", "division/title", "title/part", "division/title/chapter", "division/title/part/chapter", "title/chapter/subchapter"]
+WALK_BLOCKS = ["", "title/chapter", "title/part/chapter", "title", "division/title", "division"]
+
+
+def _walked(spark, sf_dir, paths, leaf, **how):
+    """Parts as laws, each a body nested along one of the paths, parsed and walked."""
+    k = F.col("p_partkey")
+    cases = None
+    for n, p in enumerate(paths):
+        parts = p.split("/") if p else []
+        head = F.lit("".join(f"<{x}><num>{x.upper()} 1</num>" for x in parts))
+        body = F.concat(head, leaf, F.lit("".join(f"</{x}>" for x in reversed(parts))))
+        cases = F.when(k % len(paths) == n, body) if cases is None else cases.when(k % len(paths) == n, body)
+    xml = F.concat(F.lit('<uslm xmlns="http://schemas.gpo.gov/xml/uslm"><pLaw><publicPrivate>public</publicPrivate><citableAs>Public Law 99-1</citableAs><approvedDate>1964-07-07</approvedDate><officialTitle>T</officialTitle><docTitle>AN ACT</docTitle><main>'), cases, F.lit("</main></pLaw></uslm>"))
+    files = _t(spark, sf_dir, "part").select((k + 1000).cast("int").alias("vol"), xml.cast("binary").alias("content"))
+    rows = volumes.law_rows(volumes.identified(volumes.read_laws(files).where("error is null")), **how).where("error is null")
+    return rows.select((F.col("vol") - 1000).cast("long").alias("p_partkey"), "EntryType", "Division", "Title", "SubTitle", "Chapter", "SubChapter", "SectionNumber", "SectionName", "DivisionHeadingLevel1", "DivisionHeadingLevel2", "Text")
+
+
+@query
+def walk_paths(spark, sf_dir):
+    """A section below every path of containers."""
+    leaf = F.concat(F.lit("<section><num>SEC. "), F.col("p_size").cast("string"), F.lit(".</num><heading>"), F.col("p_name"), F.lit("</heading><content>"), F.col("p_type"), F.lit("</content></section>"))
+    return _walked(spark, sf_dir, WALK_PATHS, leaf)
+
+
+@query
+def walk_paths_strict(spark, sf_dir):
+    """The same, where only the known paths are open; others are recovered if nothing else gives a row."""
+    leaf = F.concat(F.lit("<section><num>SEC. "), F.col("p_size").cast("string"), F.lit(".</num><heading>"), F.col("p_name"), F.lit("</heading><content>"), F.col("p_type"), F.lit("</content></section>"))
+    known = [p for p in WALK_PATHS if p in markup.STRICT_PATHS["section"]]
+    return _walked(spark, sf_dir, known, leaf, strict=True)
+
+
+@query
+def walk_blocks(spark, sf_dir):
+    """Nested appropriations below every path of containers that has them."""
+    leaf = F.concat(F.lit("<appropriations><heading>"), F.col("p_brand"), F.lit("</heading><appropriations><heading>"), F.col("p_name"), F.lit("</heading><content>"), F.col("p_type"), F.lit("</content></appropriations></appropriations>"))
+    return _walked(spark, sf_dir, WALK_BLOCKS, leaf)
+
+
+@query
+def walk_compat(spark, sf_dir):
+    """What stands beside chapters of a division's title comes again under each of them."""
+    leaf = F.concat(F.lit("<division><num>D</num><title><num>T</num><level><section><num>1</num><content>"), F.col("p_type"), F.lit("</content></section></level><section><num>2</num><content>"), F.col("p_name"), F.lit("</content></section><appropriations><heading>H</heading><content>"), F.col("p_brand"), F.lit("</content></appropriations><chapter><num>CHAPTER 1</num></chapter><part><chapter><num>CHAPTER 2</num></chapter></part></title></division>"))
+    return _walked(spark, sf_dir, [""], leaf, compat=True)
+
+
+@query
+def walk_recovery(spark, sf_dir):
+    """Bodies that give no row otherwise: nested parts, blocks alone, subsections, quotes, bare text."""
+    k, t = F.col("p_partkey"), lambda c: F.col(c)
+    sec = F.concat(F.lit("<section><num>9</num><content>"), t("p_type"), F.lit("</content></section>"))
+    body = (
+        F.when(k % 5 == 0, F.concat(F.lit("<part><num>PART I</num><heading>-X</heading>"), sec, F.lit("</part>")))
+        .when(k % 5 == 1, F.concat(F.lit("<part><num>PART I</num><heading>-X</heading><appropriations><heading>"), t("p_brand"), F.lit("</heading><content>"), t("p_name"), F.lit("</content></appropriations></part>")))
+        .when(k % 5 == 2, F.concat(F.lit("<subsection><num>(a)</num><content> "), t("p_name"), F.lit("</content></subsection><subsection><num>(b)</num><content> y</content></subsection>")))
+        .when(k % 5 == 3, F.concat(F.lit("<quotedContent> "), t("p_name"), F.lit(" </quotedContent>")))
+        .otherwise(F.concat(F.lit("<p>"), t("p_name"), F.lit("</p><content>two</content>")))
+    )
+    return _walked(spark, sf_dir, [""], body)
+
+
+@query
+def law_sequence(spark, sf_dir):
+    """Laws in the order of their file, with lines, ancestors, identifiers and numbers."""
+    k = F.col("s_suppkey")
+    one = F.concat(F.lit("\n<pLaw><publicPrivate>"), F.when(k % 4 == 0, "private").otherwise("public"), F.lit("</publicPrivate>\n<citableAs>Public Law 99-"), k.cast("string"), F.lit("</citableAs><main><section>\n</section></main></pLaw>"))
+    docs = _t(spark, sf_dir, "supplier").groupBy((F.col("s_nationkey") + 100).cast("int").alias("vol")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), one.alias("x")))), lambda e: e["x"]), "").alias("x"))
+    files = docs.select("vol", F.concat(F.lit('<uslm xmlns="http://schemas.gpo.gov/xml/uslm">'), "x", F.lit("</uslm>")).cast("binary").alias("content"))
+    s = volumes.sequence(volumes.read_laws(files))
+    return s.select("vol", "xml_index", "citable_as", "law_number", "is_public", "sourceline", "line_end", "tag_path")

@@ -127,6 +127,12 @@ def review_view(df: DataFrame) -> DataFrame:
     return df.where("Selection = 1").orderBy("Order")
 
 
+def merge_reviews(table: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The table with the reviewers' ReviewStatus by UniqueKey, where they gave one; of several the greatest."""
+    said = reviews.where("UniqueKey is not null and ReviewStatus is not null").groupBy("UniqueKey").agg(F.max("ReviewStatus").alias("__said"))
+    return table.join(said, "UniqueKey", "left").withColumn("ReviewStatus", F.coalesce("__said", "ReviewStatus")).drop("__said")
+
+
 def write_reports(reports: DataFrame, path: str) -> None:
     reports.write.mode("overwrite").json(path)
 
