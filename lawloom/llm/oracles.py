@@ -91,4 +91,20 @@ with split as (
 select doc_id, cast(n_lines as bigint) as n_lines, cast(n_deleted as bigint) as n_deleted, cast(length(clean) as bigint) as n_chars, sha256(clean) as text_sha256 from made
 """
 
-SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8}
+#: Enough for pages that keep their text in one article of headings, paragraphs and line breaks, with few references.
+_OP10 = r"""
+with a as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1) as body from pages
+), blocks as (
+  select page_id, url, string_split(regexp_replace(body, '</?(article|h[1-6]|p|div|ul|ol|li|section|blockquote)(\s[^>]*)?>', chr(1), 'g'), chr(1)) as b from a
+), plain as (
+  select page_id, url, list_transform(b, lambda x: regexp_replace(regexp_replace(x, '<br\s*/?>', ' ', 'g'), '<[a-zA-Z/!?][^>]*>', '', 'g')) as b from blocks
+), decoded as (
+  select page_id, url, list_transform(b, lambda x: replace(replace(replace(replace(regexp_replace(x, '&amp;?', '&amp;', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) as b from plain
+), tidy as (
+  select page_id, url, array_to_string(list_filter(list_transform(b, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text from decoded
+)
+select page_id, url, text, length(text)::bigint as n_chars from tidy
+"""
+
+SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8, "op10_html": _OP10}
