@@ -37,9 +37,7 @@ class Run:
         return 1 if FAILED & set(self.status.values()) else 0
 
 
-def _at_rest(df: DataFrame, path: str | None) -> DataFrame:
-    if path is None:
-        return df
+def _at_rest(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -53,23 +51,26 @@ def rows_of(laws: DataFrame, *, strict: bool = False, compat: bool = False) -> D
     return volumes.law_rows(public, strict=strict, compat=compat, number_rules=list(rules.SECTION_NUMBERS))
 
 
-def parse(spark: SparkSession, folder: str, vols: list[int] | None = None, *, strict: bool = False, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Laws, and the rows of public ones with repaired identifiers."""
-    laws = volumes.read_laws(volumes.volume_files(spark, folder, vols))
-    laws = _at_rest(laws, scratch and f"{scratch}/laws")
-    return laws, _at_rest(rows_of(laws, strict=strict), scratch and f"{scratch}/rows")
+def parse(spark: SparkSession, folder: str, vols: list[int] | None = None, *, strict: bool = False, scratch: str) -> tuple[DataFrame, DataFrame]:
+    """Laws, and the rows of public ones with repaired identifiers; both are written to the scratch folder first."""
+    laws = _at_rest(volumes.read_laws(volumes.volume_files(spark, folder, vols)), f"{scratch}/laws")
+    return laws, _at_rest(rows_of(laws, strict=strict), f"{scratch}/rows")
 
 
-def build(rows: DataFrame, *, agencies: list[str], dictionary: DataFrame, version: str, n: int = segment.SAMPLE) -> tuple[DataFrame, DataFrame]:
-    """The segment table with all enrichments and keys made distinct; the dictionary with its new headings."""
+def segmented(rows: DataFrame, *, n: int = segment.SAMPLE, scratch: str) -> DataFrame:
+    """The repaired rows as a segment table with its sample."""
     table = segment.build(passes.repair(rows.where("error is null")).withColumn("error", F.lit(None).cast("string")))
-    table = segment.sample(table, keys=["vol"], id_column="OriginalOrder", n=n, where=segment.eligible())
-    grown = enrich.grow_dictionary(dictionary, enrich.headings(table))
-    table = enrich.enrich(table, agencies=agencies, dictionary=grown, version=version)
-    return enrich.suffix_keys(table, key="UniqueKey", order=["OriginalOrder"], scope=["vol"]), grown
+    return _at_rest(segment.sample(table, keys=["vol"], id_column="OriginalOrder", n=n, where=segment.eligible()), f"{scratch}/segmented")
 
 
-def process(spark: SparkSession, folder: str, vols: list[int], *, agencies: list[str] = (), dictionary: DataFrame | None = None, version: str = "BaseRun", n: int = segment.SAMPLE, scratch: str | None = None) -> Run:
+def enriched(table: DataFrame, *, agencies: list[str], dictionary: DataFrame, version: str) -> DataFrame:
+    """The segment table with all enrichments and keys made distinct."""
+    table = enrich.enrich(table, agencies=agencies, dictionary=dictionary, version=version)
+    return enrich.suffix_keys(table, key="UniqueKey", order=["OriginalOrder"], scope=["vol"])
+
+
+def process(spark: SparkSession, folder: str, vols: list[int], *, agencies: list[str] = (), dictionary: DataFrame | None = None, version: str = "BaseRun", n: int = segment.SAMPLE, scratch: str) -> Run:
+    """All steps up to publication, each from what the one before wrote to the scratch folder."""
     run = Run({v: "missing_xml" for v in vols})
     dictionary = workspace.empty_dictionary(spark) if dictionary is None else dictionary
     laws, rows = parse(spark, folder, vols, scratch=scratch)
@@ -79,16 +80,14 @@ def process(spark: SparkSession, folder: str, vols: list[int], *, agencies: list
     for r in errors.groupBy("vol").agg(F.min("error").alias("error")).collect():
         run.status[r["vol"]] = "parse_failed"
     try:
-        table, run.dictionary = build(rows, agencies=list(agencies), dictionary=dictionary, version=version, n=n)
-        run.table = _at_rest(table, scratch and f"{scratch}/enriched")
-        run.dictionary = _at_rest(run.dictionary, scratch and f"{scratch}/dictionary")
+        table = segmented(rows, n=n, scratch=scratch)
+        run.dictionary = _at_rest(enrich.grow_dictionary(dictionary, enrich.headings(table)), f"{scratch}/dictionary")
+        run.table = _at_rest(enriched(table, agencies=list(agencies), dictionary=run.dictionary, version=version), f"{scratch}/enriched")
         counts = laws.where("lower(trim(public_private)) = 'public'").groupBy("vol").agg(F.count("*").alias("public_count"))
         columns = publish.output_columns(run.table)
-        run.reports = _at_rest(validate.report(validate.measures(run.table, ["vol"]), counts, columns=columns), scratch and f"{scratch}/reports")
+        run.reports = _at_rest(validate.report(validate.measures(run.table, ["vol"]), counts, columns=columns), f"{scratch}/reports")
         found = run.reports.select("vol", "status").collect()
     except Exception as e:
-        if scratch is None:
-            raise
         print(f"enrichment failed: {e}", file=sys.stderr)
         run.status |= dict.fromkeys(run.ready(), "enrich_failed")
         return run

@@ -141,7 +141,7 @@ def test_whole_run(spark, tmp_path):
     src.mkdir()
     body = SEC.format(1) + SEC.format(2) + "<appropriations><heading>Senate</heading><content>pay the treasury</content></appropriations>"
     files(spark, src, v114=volume(law(body), law(SEC.format(1), cited="Public Law 99-912")), v113="<broken")
-    run = pipeline.process(spark, str(src), [112, 113, 114], agencies=["treasury"], version="v1", n=2)
+    run = pipeline.process(spark, str(src), [112, 113, 114], agencies=["treasury"], version="v1", n=2, scratch=str(tmp_path / "scratch"))
     assert run.status == {112: "missing_xml", 113: "parse_failed", 114: "ready_for_publish"} and run.exit_code() == 1
     rows = run.table.orderBy("OriginalOrder").collect()
     assert [r.UniqueKey for r in rows] == ["099-911-000-000-000-000-000-S-000000000000001", "099-911-000-000-000-000-000-S-000000000000002", "099-911-000-000-000-000-000-D-00001-00001-00001", "099-912-000-000-000-000-000-S-000000000000001"]
