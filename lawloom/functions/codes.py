@@ -14,6 +14,11 @@ BLANK_SECTION = "000000000000001"
 BLANK = "(blank)"
 
 
+def _let(value: Column, use) -> Column:
+    """An expression of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _upper(c: Column) -> Column:
     return F.upper(strip(F.coalesce(c, F.lit(""))))
 
@@ -25,10 +30,11 @@ def letters_value(c: Column) -> Column:
 
 def alpha_code(c: Column, prefix: str) -> Column:
     """Letters after the prefix as a number; 000 for anything else. No code is cut off."""
-    up = _upper(c)
-    after = F.regexp_extract(up, rf"^{prefix}\s+([A-Z]+)", 1)
-    letters = F.when(after != "", after).otherwise(up)
-    return F.when(letters.rlike("^[A-Z]+$"), F.format_string("%03d", letters_value(letters))).otherwise("000")
+
+    def code(letters: Column) -> Column:
+        return F.when(letters.rlike("^[A-Z]+$"), F.format_string("%03d", letters_value(letters))).otherwise("000")
+
+    return _let(_upper(c), lambda up: _let(F.coalesce(F.nullif(F.regexp_extract(up, rf"^{prefix}\s+([A-Z]+)", 1), F.lit("")), up), code))
 
 
 def first_letter_code(c: Column, prefix: str) -> Column:
@@ -61,13 +67,18 @@ def _section_text(c: Column) -> Column:
 
 def section_code(c: Column) -> Column:
     """15 characters for a number with letters after it; six for other text; a fixed code for none."""
-    t = _section_text(c)
-    digits, tail = F.regexp_extract(t, r"^(\d+)([A-Z]*)$", 1), F.regexp_extract(t, r"^(\d+)([A-Z]*)$", 2)
-    width = F.greatest(F.lit(15) - F.length(tail), F.lit(0))
-    padded = F.substring(F.concat(F.repeat(F.lit("0"), F.greatest(width - F.length(digits), F.lit(0))), digits), F.lit(1), width)
-    numbered = F.substring(F.concat(padded, tail), 1, 15)
-    other = F.lpad(F.substring(t, 1, 6), 6, "0")
-    return F.when(c.isNull() | (c == BLANK), BLANK_SECTION).when(digits != "", numbered).otherwise(other)
+
+    def numbered(t: Column, tail: Column) -> Column:
+        digits = F.substring(t, F.lit(1), F.length(t) - F.length(tail))
+        width = F.greatest(F.lit(15) - F.length(tail), F.lit(0))
+        padded = F.substring(F.concat(F.repeat(F.lit("0"), F.greatest(width - F.length(digits), F.lit(0))), digits), F.lit(1), width)
+        return F.substring(F.concat(padded, tail), 1, 15)
+
+    def code(t: Column) -> Column:
+        tail = F.regexp_extract(t, r"^\d+([A-Z]*)$", 1)
+        return F.when(t.rlike(r"^\d+[A-Z]*$"), _let(tail, lambda x: numbered(t, x))).otherwise(F.lpad(F.substring(t, 1, 6), 6, "0"))
+
+    return F.when(c.isNull() | (c == BLANK), BLANK_SECTION).otherwise(_let(_section_text(c), code))
 
 
 def is_first_section(c: Column) -> Column:
