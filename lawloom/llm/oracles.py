@@ -107,4 +107,23 @@ with a as (
 select page_id, url, text, length(text)::bigint as n_chars from tidy
 """
 
-SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8, "op10_html": _OP10}
+_OP13 = r"""
+with units as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents
+), ranks as (
+  select *, len(u) as n, list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(h, i, 8) as bigint)) as k from units
+), cuts as (
+  select *, least(k[1] % (n + 1), k[2] % (n + 1)) as a, greatest(k[1] % (n + 1), k[2] % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or k[3] % 100 >= 90 then 'plain' when k[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from ranks
+), parts as (
+  select *, coalesce(array_to_string(u[:a], ''), '') as p, coalesce(array_to_string(u[a + 1:b], ''), '') as m, coalesce(array_to_string(u[b + 1:], ''), '') as s from cuts
+)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars, case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(p || m || s) as restored_sha256
+from parts
+"""
+
+SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8, "op10_html": _OP10, "op13_fim": _OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, covertree, decontam, html, linededup, lm, packing, quality, simhash, toxicity
+from lawloom.llm import chat, covertree, decontam, fim, html, linededup, lm, packing, quality, simhash, toxicity
 from lawloom.llm.common import table
 
 
@@ -68,8 +68,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), seed=1, rate=90, spm_rate=20)
+    again = fim.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html)}
+    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
