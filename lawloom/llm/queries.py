@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, covertree, decontam, fim, html, linededup, lm, packing, quality, simhash, toxicity
+from lawloom.llm import bpe, chat, covertree, decontam, fim, html, linededup, lm, packing, quality, simhash, toxicity
 from lawloom.llm.common import table
 
 
@@ -68,6 +68,12 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()), tokenizer_path())
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(table(spark, sf_dir, "documents"), seed=1, rate=90, spm_rate=20)
     again = fim.restored(F.col("output"), F.col("form"))
@@ -75,7 +81,7 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html, op13_fim)}
+    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html, op11_bpe, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
