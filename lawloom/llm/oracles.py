@@ -126,4 +126,42 @@ select doc_id, cast(n as bigint) as n, form,
 from parts
 """
 
-SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8, "op10_html": _OP10, "op13_fim": _OP13}
+_OP12 = r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+  from conversations where conv_id is not null
+), lengths as (
+  select conv_id, max(i) as own_n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, step: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::bigint) % 6 as h
+  from turns group by conv_id
+), convs as (
+  select c.*, least(h, coalesce(b.n, 0)) as kept from lengths c left join (select conv_id as base, max(i) as n from turns group by conv_id) b on b.base = c.conv_id - c.conv_id % 100
+), rebuilt as (
+  select c.conv_id, t.i as depth, role, text from convs c join turns t on t.conv_id = c.conv_id - c.conv_id % 100 and t.i <= c.h
+  union all
+  select c.conv_id, t.i - c.h + c.kept as depth, role, text from convs c join turns t on t.conv_id = c.conv_id and t.i > c.h
+), paths as (
+  select conv_id, depth, length(text) as chars, string_agg(length(role) || ':' || role || length(text) || ':' || text, '' order by depth) over (partition by conv_id order by depth) as node from rebuilt
+  union all
+  select conv_id, 0, 0, '' from convs
+), occ as (
+  select conv_id, depth, chars, sha256(node) as node, max(depth) over (partition by conv_id) as n from paths
+), own as (
+  select node, depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * min(chars) as saved, max(n) = depth as leaf,
+    sha256(coalesce(string_agg(case when depth = n then conv_id::varchar end, ',' order by conv_id), '')) as ends_sha256
+  from occ group by node, depth
+), below as (
+  select distinct a.node, b.node as under from occ a join occ b on b.conv_id = a.conv_id and b.depth >= a.depth
+), totals as (
+  select b.node, sum(saved) as saved_tokens, sum(leaf::int) as n_leaves from below b join own o on o.node = b.under group by b.node
+), edges as (
+  select distinct b.node, a.node as parent from occ a join occ b on b.conv_id = a.conv_id and b.depth = a.depth + 1
+), children as (
+  select parent as node, count(*) as n from edges group by parent
+)
+select o.conv_id, o.depth, p.conv_id as parent_conv_id, o.n_convs::bigint as n_convs, coalesce(c.n, 0)::bigint as n_children, t.n_leaves::bigint as n_leaves, t.saved_tokens::bigint as saved_tokens, o.ends_sha256
+from own o join totals t on t.node = o.node left join edges e on e.node = o.node left join own p on p.node = e.parent left join children c on c.node = o.node
+"""
+
+SQL = {"op1_decontamination": _OP1, "op2_topk": _OP2, "op4_chat": _OP4, "op8_linededup": _OP8, "op10_html": _OP10, "op12_prefixtrie": _OP12, "op13_fim": _OP13}

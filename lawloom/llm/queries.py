@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import bpe, chat, covertree, decontam, fim, html, linededup, lm, packing, quality, simhash, toxicity
+from lawloom.llm import bpe, chat, covertree, decontam, fim, html, linededup, lm, packing, prefixtrie, quality, simhash, toxicity
 from lawloom.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"), every=100, modulus=6)
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(table(spark, sf_dir, "documents"), seed=1, rate=90, spm_rate=20)
     again = fim.restored(F.col("output"), F.col("form"))
@@ -81,7 +85,7 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html, op11_bpe, op13_fim)}
+    return {f.__name__: f for f in (op1_decontamination, op2_topk, op3_lm, op4_chat, op5_quality, op6_toxicity, op7_packing, op8_linededup, op9_simhash, op10_html, op11_bpe, op12_prefixtrie, op13_fim)}
 
 
 def oracle_sql() -> dict[str, str]:
