@@ -39,6 +39,8 @@ from lawloom.llm.common import fresh, slices
 from lawloom.llm.tokens import PATTERN
 
 FAR = 1 << 40
+#: Bytes by which it is known how long a token that begins with them may be.
+START = 4
 #: Characters of text whose words are known at a time; a longer text is taken in runs of so many words.
 GROUP, RUN = 1_000_000, 100_000
 #: What a task remembers of words, in entries and in bytes of words and ids.
@@ -71,6 +73,7 @@ class Merges:
         self._keys = np.array(sorted(self.product))
         self._made = np.array([self.product[k] for k in self._keys.tolist()])
         self.number = number
+        self.whole = [number[b] for b in self.bytes_of]  # of products with equal bytes, the first one
         whole = np.arange(256, self.size)
         good = np.ones(self.size, bool)
         if self.checkable and len(whole):
@@ -81,7 +84,8 @@ class Merges:
         self.proposed = {b: n for n, b in enumerate(self.bytes_of) if good[n] and number[b] == n}
         self.longest: dict[bytes, int] = {}
         for b in self.proposed:
-            self.longest[b[:2]] = max(self.longest.get(b[:2], 1), len(b))
+            if len(b) >= START:
+                self.longest[b[:START]] = max(self.longest.get(b[:START], START), len(b))
 
     def _merged(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The number of the product of each pair, FAR if they do not merge."""
@@ -118,7 +122,7 @@ class Merges:
             return [n]
         out, at, get, longest = [], 0, self.proposed.get, self.longest
         while at < len(word):
-            for end in range(min(len(word), at + longest.get(word[at : at + 2], 1)), at, -1):
+            for end in range(min(len(word), at + longest.get(word[at : at + START], START - 1)), at, -1):
                 if (n := get(word[at:end])) is not None:
                     out.append(n)
                     at = end
@@ -129,14 +133,17 @@ class Merges:
         """The merges in their order: least rank first, from the left."""
         parts, product, size = list(word), self.product, self.size
         if len(parts) <= 40:
-            while len(parts) > 1:
-                made = [product.get(a * size + b, FAR) for a, b in zip(parts, parts[1:])]
-                best = min(made)
-                if best == FAR:
-                    break
+            get = product.get
+            made = [get(a * size + b, FAR) for a, b in zip(parts, parts[1:])]
+            while made and (best := min(made)) != FAR:
                 i = made.index(best)
-                parts[i : i + 2] = [best]
-            return [self.number[self.bytes_of[n]] for n in parts]
+                parts[i : i + 2] = [n] = [self.whole[best]]
+                del made[i]
+                if i:
+                    made[i - 1] = get(parts[i - 1] * size + n, FAR)
+                if i < len(made):
+                    made[i] = get(n * size + parts[i + 1], FAR)
+            return parts
         after, before = [*range(1, len(parts)), -1], [-1, *range(len(parts) - 1)]
         heap = [(m, i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (m := product.get(a * size + b)) is not None]
         heapq.heapify(heap)
@@ -145,7 +152,7 @@ class Merges:
             j = after[i]
             if parts[i] < 0 or j < 0 or product.get(parts[i] * size + parts[j]) != m:
                 continue  # one of the two went into another merge
-            parts[i], parts[j], after[i] = self.number[self.bytes_of[m]], -1, after[j]
+            parts[i], parts[j], after[i] = self.whole[m], -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
