@@ -39,6 +39,8 @@ from lawloom.llm.common import fresh, slices
 from lawloom.llm.tokens import PATTERN
 
 FAR = 1 << 40
+#: The words of a text that is all ASCII.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: Bytes by which it is known how long a token that begins with them may be.
 START = 4
 #: Characters of text whose words are known at a time; a longer text is taken in runs of so many words.
@@ -205,6 +207,7 @@ class Coder:
         self._path, self._asked = path, None
         self._same, self._other = set(map(chr, range(128))), set()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.held = self.exact = 0
 
     @classmethod
@@ -245,7 +248,7 @@ class Coder:
         if self._odd(text):
             yield [text[a:b] for _, (a, b) in self._own().pre_tokenize_str(text)]
         elif len(text) <= GROUP:
-            yield self._words.findall(text)
+            yield (_ASCII if text.isascii() else self._words).findall(text)
         else:
             found = self._words.finditer(text)
             while run := [m[0] for m in islice(found, RUN)]:
@@ -267,9 +270,13 @@ class Coder:
         return b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(known, p)) for p in parts)
 
     def _ready(self, parts) -> None:
-        if len(self.known) > KNOWN or self.held > KNOWN_BYTES:
-            self.known, self.held = {}, 0
-        if unknown := {w for p in parts if not isinstance(p, int) for w in p} - self.known.keys():
+        if len(self.known) > KNOWN // 2 or self.held > KNOWN_BYTES // 2:
+            self.known, self.before, self.held = {}, self.known, 0  # words in use come over, others go the next time
+        unknown = {w for p in parts if not isinstance(p, int) for w in p} - self.known.keys()
+        for w in unknown & self.before.keys():
+            self.known[w] = self.before[w]
+            self.held += len(w) + len(self.before[w])
+        if unknown := unknown - self.before.keys():
             self._learn(unknown)
 
     def encode_many(self, texts: list[str | None]) -> Iterator[bytes]:
