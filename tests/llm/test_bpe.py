@@ -77,6 +77,8 @@ def test_special_tokens_long_texts_and_words(own):
     coder = bpe.Coder(PATH)
     for t, ids in zip(texts, ids_of(texts)):
         assert coder.decode(ids) == (t or "") == own.decode(ids, skip_special_tokens=False)
+    lists = bpe.pa.array([[1, 2], None, [], [-5, 10**9, 3, None]], bpe.pa.list_(bpe.pa.int32()))
+    assert coder.decode_many(lists[1:]) == [None, "", coder.decode([3])] and coder.decode_many(lists[:0]) == []
     for ids in ([255, 200], [50256, 128, 5], [], [160]):
         assert coder.decode(ids) == own.decode(ids, skip_special_tokens=False)
 
