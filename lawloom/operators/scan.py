@@ -56,7 +56,7 @@ def _changes(batch: pa.RecordBatch, keys: list[str], last: list) -> np.ndarray:
     return new
 
 
-def _names(df: DataFrame, *names: str) -> list[str]:
+def free_names(df: DataFrame, *names: str) -> list[str]:
     """Names like those given that no column of ``df`` has, in any case of letters."""
     taken, out = {c.lower() for c in df.columns}, []
     for name in names:
@@ -75,11 +75,11 @@ def running(df: DataFrame, keys: list[str], order: list[Column], *, count: str |
     sizes; the result is at rest.
     """
     if not keys:
-        df = df.withColumn(key := _names(df, "__all")[0], F.lit(0))
+        df = df.withColumn(key := free_names(df, "__all")[0], F.lit(0))
         return running(df, [key], order, count=count, sums=sums, xors=xors).drop(key)
     asked = [(count, None, "sum")] if count else []
     asked += [(n, c, "sum") for n, c in (sums or {}).items()] + [(n, c, "xor") for n, c in (xors or {}).items()]
-    part, head, edge = _names(df, "__part", "__head", "__edge")
+    part, head, edge = free_names(df, "__part", "__head", "__edge")
     by = [*(F.col(f"`{k}`") for k in keys), *order]
     sorted_rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
 
@@ -126,7 +126,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], *, count: str |
     before = carried(firsts, lasts, kinds)
     plain = placed.drop(edge)
     if before:
-        more = _names(plain, *(f"__more{i}" for i in range(len(names))))
+        more = free_names(plain, *(f"__more{i}" for i in range(len(names))))
         fields = [T.StructField(part, T.IntegerType()), *(T.StructField(m, long) for m in more)]
         small = df.sparkSession.createDataFrame([(p, *x) for p, x in before.items()], T.StructType(fields))
         plain = plain.join(F.broadcast(small), part, "left")

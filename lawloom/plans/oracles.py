@@ -46,6 +46,14 @@ s as (select doc_id, lang, row_number() over (partition by lang order by md5('or
 SQL["selection_sample"] = f"{_SAMPLE} select e.doc_id, e.lang, case when s.o is null then 0 else 1 end as selection, cast(s.o as integer) as order_no from e left join s on e.doc_id = s.doc_id"
 SQL["sme_view"] = f"{_SAMPLE} select lang, cast(o as integer) as order_no, doc_id from s order by lang, o"
 
+SQL["volume_order"] = f"""
+with {_LINES}, firsts as (
+  select * from (select *, row_number() over (partition by source, doc_id, line, line_no % 3 = 0 order by line_no) as n from lines) where n = 1
+)
+select source as vol, 'Public Law 1-' || doc_id as law, line_no as xml_index,
+  row_number() over (partition by source order by doc_id, line_no % 7, line_no % 3 = 0, line_no) as original_order from firsts
+"""
+
 SQL["content_hash"] = "select conv_id, sha256(string_agg(text, '' order by text)) as content_hash from conversations where trim(coalesce(text, '')) <> '' group by conv_id"
 
 SQL["law_flag_semi"] = "select o_orderkey, exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R') as is_appropriation from orders"

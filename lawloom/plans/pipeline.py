@@ -57,9 +57,12 @@ def parse(spark: SparkSession, folder: str, vols: list[int] | None = None, *, st
     return laws, _at_rest(rows_of(laws, strict=strict), f"{scratch}/rows")
 
 
-def segmented(rows: DataFrame, *, n: int = segment.SAMPLE, scratch: str) -> DataFrame:
-    """The repaired rows as a segment table with its sample."""
+def segmented(rows: DataFrame, *, n: int = segment.SAMPLE, by_place: bool = False, scratch: str) -> DataFrame:
+    """The repaired rows as a segment table with its sample, drawn by hash or, as earlier tables were, by place."""
     table = segment.build(passes.repair(rows.where("error is null")).withColumn("error", F.lit(None).cast("string")))
+    if by_place:
+        drawn = segment.sample_like_numpy(table, keys=["vol"], order=[F.col("OriginalOrder")], n=n, where=segment.eligible())
+        return _at_rest(drawn, f"{scratch}/segmented")
     return _at_rest(segment.sample(table, keys=["vol"], id_column="OriginalOrder", n=n, where=segment.eligible()), f"{scratch}/segmented")
 
 

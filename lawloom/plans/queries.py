@@ -77,6 +77,27 @@ def selection_sample(spark, sf_dir):
     return s.select("doc_id", "lang", F.col("Selection").alias("selection"), F.col("Order").alias("order_no"))
 
 
+def _volumes(spark, sf_dir):
+    """Lines as extracted rows: a source is a volume, a document a law; one source may have most of the rows."""
+    lines = _lines(_t(spark, sf_dir, "documents"))
+    kind = F.when(F.col("line_no") % 3 == 0, "Division").otherwise("Section")
+    return lines.select(F.col("source").alias("vol"), F.concat(F.lit("Public Law 1-"), F.col("doc_id").cast("string")).alias("LawIdentifier"), "line", kind.alias("EntryType"), (F.col("line_no") % 7).alias("counter"), F.col("line_no").alias("xml_index"), F.lit(None).cast("string").alias("error"))
+
+
+@query
+def volume_order(spark, sf_dir):
+    """Rows numbered within volumes of any size, repeats of a law's content dropped."""
+    t = segment.build(_volumes(spark, sf_dir))
+    return t.select("vol", F.col("LawIdentifier").alias("law"), "xml_index", F.col("OriginalOrder").alias("original_order"))
+
+
+@query
+def selection_places(spark, sf_dir):
+    """Which rows of a volume numpy's generator draws, and in what order they are shown."""
+    t = segment.sample_like_numpy(segment.build(_volumes(spark, sf_dir)), keys=["vol"], order=[F.col("OriginalOrder")], where=F.col("EntryType") == "Section")
+    return t.select("vol", F.col("OriginalOrder").alias("original_order"), F.col("Selection").alias("selection"), F.col("Order").alias("order_no"))
+
+
 @query
 def content_hash(spark, sf_dir):
     return enrich.content_hash(_t(spark, sf_dir, "conversations"), ["conv_id"], "text", "content_hash")
