@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import decontam, linededup, near, packing, quality
+from lawloom.llm import decontam, linededup, packing, quality, simhash
 from lawloom.llm.common import remove, shared_folder, table
 from lawloom.llm.queries import tokenizer_path
 
@@ -30,8 +30,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles at a similarity of 0.8 or more."""
-    return near.drop_near_copies(docs)
+    """One document of each group that op9's links reach: fingerprints of four-word shingles at 4 or fewer differing bits."""
+    return simhash.drop_near_copies(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -68,3 +69,24 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def one_of_each(docs: DataFrame, group: DataFrame, with_node: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One row of each group, of the least doc_id. An id with texts of several groups is settled in each of them.
+
+    ``group`` has doc_id, node (what stands for a row's text), component_id (the group's least doc_id) and root (a node
+    that names the group); ``with_node`` adds the node to rows under a given name.
+    """
+    key, own = fresh(docs, "key", "own")
+    group = cut(group.withColumnsRenamed({"doc_id": key, "node": own}))
+    copies = cut(group.where(F.col(key) != F.col("component_id")).select(key).distinct())
+    repeated = cut(group.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col(key).isNotNull()).select(key))
+    docs = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if repeated.isEmpty():
+        return docs.join(copies, key, "left_anti").select(*(c for c in docs.columns if c != key))
+    first = group.join(repeated, key, "left_semi").where(F.col(key) == F.col("component_id")).groupBy(key, "root").agg(F.min(own).alias(own)).select(key, own)
+    some = with_node(docs.join(repeated, key, "left_semi"), own)
+    once = some.join(first, [key, own], "left_semi").dropDuplicates([key, own]).drop(own)
+    others = docs.join(repeated.unionByName(copies).distinct(), key, "left_anti")
+    # joins by a name put that first
+    return others.unionByName(once).select(*(c for c in docs.columns if c != key))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lawloom.llm.common import cut, fresh, slices, utf8
+from lawloom.llm.common import cut, one_of_each, slices, utf8
 from lawloom.llm.components import components
 from lawloom.llm.simhash import shingles
 
@@ -333,16 +333,4 @@ def _with_node(docs: DataFrame, name: str) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, *, k: int = WORDS) -> DataFrame:
     """One row of each group, of the least doc_id. An id with texts of several groups is settled in each of them."""
-    key, own = fresh(docs, "key", "own")
-    group = cut(groups(docs, k=k).withColumnsRenamed({"doc_id": key, "node": own}))
-    copies = cut(group.where(F.col(key) != F.col("component_id")).select(key).distinct())
-    repeated = cut(group.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col(key).isNotNull()).select(key))
-    docs = docs.withColumn(key, F.col("doc_id").cast("long"))
-    if repeated.isEmpty():
-        return docs.join(copies, key, "left_anti").select(*(c for c in docs.columns if c != key))
-    first = group.join(repeated, key, "left_semi").where(F.col(key) == F.col("component_id")).groupBy(key, "root").agg(F.min(own).alias(own)).select(key, own)
-    some = _with_node(docs.join(repeated, key, "left_semi"), own)
-    once = some.join(first, [key, own], "left_semi").dropDuplicates([key, own]).drop(own)
-    others = docs.join(repeated.unionByName(copies).distinct(), key, "left_anti")
-    # joins by a name put that first
-    return others.unionByName(once).select(*(c for c in docs.columns if c != key))
+    return one_of_each(docs, groups(docs, k=k), _with_node)

@@ -14,7 +14,8 @@ if some word is at most 2 bits away from both, so grouping by such words connect
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a text of any length gives all
 its shingles; an empty table gives no rows; repeated rows are given back each time; component ids ignore null doc ids
-unless a component has no other; other columns are left alone.
+unless a component has no other; other columns are left alone. Of a group's rows that repeat the kept id one stays where
+near copies are dropped; rows without an id stay.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lawloom.llm.common import cut, utf8
+from lawloom.llm.common import cut, one_of_each, utf8
 from lawloom.llm.components import components
 
 SEED = 42
@@ -256,14 +258,34 @@ def link_fingerprints(fps: DataFrame, *, hot: int = HOT, levels: int = LEVELS) -
     return components(pairs).select(F.col("node").alias("fp"), "root")
 
 
-def group_by_simhash(docs: DataFrame, *, k: int = 4, hot: int = HOT) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id that links reach, the document's own included)."""
+def groups(docs: DataFrame, *, k: int = 4, hot: int = HOT) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id that links reach, the document's own included), root (a fingerprint
+    that names the group)."""
     fps = cut(fingerprints(docs, k=k))
     first = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     group = cut(link_fingerprints(first, hot=hot))
     least = first.join(group, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
-    named = first.join(group.join(least, "root").select("fp", "component_id"), "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return fps.join(cut(named), "fp", "left").select("doc_id", "fp", "component_id")
+    named = first.join(group.join(least, "root").select("fp", "root", "component_id"), "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return fps.join(cut(named), "fp", "left").select("doc_id", "fp", "component_id", "root")
+
+
+def group_by_simhash(docs: DataFrame, *, k: int = 4, hot: int = HOT) -> DataFrame:
+    """doc_id, fp and component_id."""
+    return groups(docs, k=k, hot=hot).drop("root")
+
+
+def drop_near_copies(docs: DataFrame, *, k: int = 4, hot: int = HOT) -> DataFrame:
+    """One row of each group, of the least doc_id. An id with texts of several groups is settled in each of them."""
+
+    def with_fingerprint(rows: DataFrame, name: str) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                fps = np.array([fingerprint(t, k) for t in utf8(b["text"])], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.int64())], [*b.schema.names, name])
+
+        return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
+
+    return one_of_each(docs, groups(docs, k=k, hot=hot).withColumnRenamed("fp", "node"), with_fingerprint)
 
 
 def hex16(fp) -> F.Column:

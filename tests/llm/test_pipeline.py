@@ -49,3 +49,27 @@ def test_odd_tables(spark, tmp_path):
         spark.createDataFrame(some, columns).write.parquet(f"{tmp_path}/{name}/documents.parquet")
         got = {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()}
         assert got == ({*range(20), None, 30, 40} if some else set())
+
+
+def test_near_copies_are_those_of_op9(spark):
+    from lawloom.llm import simhash
+
+    q = random.Random(7)
+    rows = []
+    for i in range(60):
+        t = [f"w{q.randrange(5000)}" for _ in range(q.choice([3, 80, 300]))]
+        rows += [(len(rows) + j, " ".join(t[:at] + [f"new{i}"] + t[at + 1 :])) for j, at in enumerate([0, 0, len(t) // 2, len(t) - 1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = [(d, simhash.fingerprint(t.encode(), 4)) for d, t in rows]
+    of = {d: d for d, _ in rows}
+
+    def root(d):
+        return d if of[d] == d else root(of[d])
+
+    for n, (d, a) in enumerate(fps):
+        for e, b in fps[:n]:
+            if (a ^ b).bit_count() <= 4:
+                low, high = sorted((root(d), root(e)))
+                of[high] = low
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, DIR).collect()}
+    assert kept == {root(d) for d in of} and 60 < len(kept) < 240
