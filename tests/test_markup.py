@@ -166,3 +166,22 @@ def test_whole_run(spark, tmp_path):
     assert manifest.volumes["114"]["status"] == "stale"
     publish.unpublish(spark, str(out / "t"), 114, manifest)
     assert publish.published_volumes(spark, str(out / "t")) == set()
+
+
+def test_volumes_of_one_partition_are_parsed_by_several_tasks(spark):
+    xml = '<uslm><pLaw><publicPrivate>public</publicPrivate><citableAs>Public Law 99-1</citableAs><approvedDate>d</approvedDate><main><section><num>1</num><content>t</content></section></main></pLaw></uslm>'
+    files = spark.createDataFrame([(n, xml.encode()) for n in range(64, 264)], "vol int, content binary").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laws = volumes.read_laws(files)
+        assert laws.select(F.spark_partition_id()).distinct().count() > 1
+        assert laws.count() == 200
+        assert volumes.law_rows(volumes.identified(laws)).where("Text = 't'").count() == 200
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rows_are_batched_by_number_and_length():
+    arrow = volumes._arrow(volumes.LAWS)
+    sizes = lambda texts: [b.num_rows for b in volumes._in_batches(({"vol": 1, "xml": t} for t in texts), arrow, 3, 10)]
+    assert sizes([None] * 7) == [3, 3, 1] and sizes(["x" * 9, "xx", "", "x" * 30]) == [2, 2] and sizes([]) == []
