@@ -11,11 +11,16 @@ from lawloom.functions import codes, text
 def null_ordinals(df: DataFrame, *, law: list[str], number: str, order: list) -> DataFrame:
     """U1, U2, ... for missing section numbers of a law with several of them, or with a section 1 beside them."""
     c = F.col(number)
-    whole = Window.partitionBy(*law)
-    missing = F.sum(c.isNull().cast("int")).over(whole)
-    taken = F.max((c.isNotNull() & codes.is_first_section(c)).cast("int")).over(whole) == 1
-    n = F.row_number().over(Window.partitionBy(*law, c.isNull()).orderBy(*order))
-    return df.withColumn(number, F.when(c.isNull() & ((missing >= 2) | taken), F.concat(F.lit("U"), n.cast("string"))).otherwise(c))
+    # a number of parts that is given is not cut down where rows are short, so one task's sort stays small
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *law)
+    # rows with a number come first, so a missing one has them all before it, and others that are missing right after it:
+    # one window and one sort give everything, in frames that only look back
+    w = Window.partitionBy(*law).orderBy(c.isNull(), *order)
+    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.sum(c.isNull().cast("int")).over(back)
+    taken = F.max((c.isNotNull() & codes.is_first_section(c)).cast("int")).over(back) == 1
+    several = (n >= 2) | F.lead(F.lit(True)).over(w).isNotNull()
+    return df.withColumn(number, F.when(c.isNull() & (several | taken), F.concat(F.lit("U"), n.cast("string"))).otherwise(c))
 
 
 def heading_ordinals(df: DataFrame, *, law: list[str], levels: list[str], order: list) -> DataFrame:

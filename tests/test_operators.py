@@ -164,3 +164,14 @@ def test_distinct_first_and_order(spark):
     assert sorted(r.i for r in segment.distinct_first(df, ["c"], [F.col("i")]).collect()) == [1, 2]
     with pytest.raises(ValueError, match="within a key"):
         segment.with_order(df, [], [F.col("i")])
+
+
+def test_null_ordinals_need_one_sort(spark):
+    from lawloom.operators import passes
+
+    rows = [(1, n, s) for n, s in enumerate(["1", None, "2"])] + [(2, 0, None), (2, 1, "7"), (2, 2, None), (3, 0, None), (3, 1, "7"), (4, 0, None), (5, 0, None), (5, 1, None), (6, 1, None), (6, 0, "Sec. 1.")]
+    df = spark.createDataFrame(rows, "law int, at int, number string")
+    out = passes.null_ordinals(df, law=["law"], number="number", order=[F.col("at")])
+    got = {(r["law"], r["at"]): r["number"] for r in out.collect()}
+    assert got == {(1, 0): "1", (1, 1): "U1", (1, 2): "2", (2, 0): "U1", (2, 1): "7", (2, 2): "U2", (3, 0): None, (3, 1): "7", (4, 0): None, (5, 0): "U1", (5, 1): "U2", (6, 0): "Sec. 1.", (6, 1): "U1"}
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Sort [") == 1
