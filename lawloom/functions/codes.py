@@ -19,22 +19,34 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _digits(n: Column, width: int) -> Column:
+    """As format_string("%0<width>d") writes a number, which it does in many times the time."""
+
+    def padded(x: Column) -> Column:
+        t = x.cast("string")
+        return F.when(x < 0, F.format_string(f"%0{width}d", x)).when(x < 10**width, F.lpad(t, width, "0")).otherwise(F.coalesce(t, F.lit("null")))
+
+    return _let(n, padded)
+
+
 def _upper(c: Column) -> Column:
     return F.upper(strip(F.coalesce(c, F.lit(""))))
 
 
 def letters_value(c: Column) -> Column:
     """A=1, Z=26, AA=27 and so on, for text of A-Z alone."""
-    return F.aggregate(F.split(c, ""), F.lit(0).cast("bigint"), lambda s, ch: F.when(ch == "", s).otherwise(s * 26 + F.ascii(ch) - 64))
+    several = F.aggregate(F.split(c, ""), F.lit(0).cast("bigint"), lambda s, ch: F.when(ch == "", s).otherwise(s * 26 + F.ascii(ch) - 64))
+    return F.when(F.length(c) == 1, (F.ascii(c) - 64).cast("bigint")).otherwise(several)
 
 
 def alpha_code(c: Column, prefix: str) -> Column:
     """Letters after the prefix as a number; 000 for anything else. No code is cut off."""
 
     def code(letters: Column) -> Column:
-        return F.when(letters.rlike("^[A-Z]+$"), F.format_string("%03d", letters_value(letters))).otherwise("000")
+        return F.when(letters.rlike("^[A-Z]+$"), _digits(letters_value(letters), 3)).otherwise("000")
 
-    return _let(_upper(c), lambda up: _let(F.coalesce(F.nullif(F.regexp_extract(up, rf"^{prefix}\s+([A-Z]+)", 1), F.lit("")), up), code))
+    value = _let(_upper(c), lambda up: _let(F.coalesce(F.nullif(F.regexp_extract(up, rf"^{prefix}\s+([A-Z]+)", 1), F.lit("")), up), code))
+    return F.when(c.isNull(), "000").otherwise(value)
 
 
 def first_letter_code(c: Column, prefix: str) -> Column:
@@ -45,20 +57,26 @@ def first_letter_code(c: Column, prefix: str) -> Column:
     return F.when(letter != "", F.format_string("%03d", F.ascii(letter) - 64)).otherwise("000")
 
 
-def roman_value(c: Column) -> Column:
-    """Numerals added up from the left, pairs as one; irregular ones are added as they come. 0 for other text."""
-    up = _upper(c)
+def _roman(up: Column) -> Column:
+    """The value of upper-case text; it names the text twice."""
     values = F.create_map(*(F.lit(x) for kv in ROMAN.items() for x in kv))
     total = F.aggregate(F.regexp_extract_all(up, F.lit("(CM|CD|XC|XL|IX|IV|[MDCLXVI])"), F.lit(1)), F.lit(0), lambda s, x: s + F.element_at(values, x))
     return F.when(up.rlike("^[MDCLXVI]+$"), total).otherwise(0)
 
 
+def roman_value(c: Column) -> Column:
+    """Numerals added up from the left, pairs as one; irregular ones are added as they come. 0 for other text."""
+    return _let(_upper(c), _roman)
+
+
 def numeral_code(c: Column, prefix: str) -> Column:
     """Digits or Roman numerals after the prefix; 000 for anything else."""
-    up = _upper(c)
-    after = F.regexp_extract(up, rf"^{prefix}\s+([A-Z0-9]+)", 1)
-    v = F.when(after != "", after).otherwise(up)
-    return F.when(v.rlike(r"^\d+$"), F.format_string("%03d", v.try_cast("bigint"))).when(v.rlike("^[IVXLCDM]+$"), F.format_string("%03d", roman_value(v))).otherwise("000")
+
+    def code(v: Column) -> Column:
+        return F.when(v.rlike(r"^\d+$"), _digits(v.try_cast("bigint"), 3)).when(v.rlike("^[IVXLCDM]+$"), _digits(_roman(v), 3)).otherwise("000")
+
+    value = _let(_upper(c), lambda up: _let(F.coalesce(F.nullif(F.regexp_extract(up, rf"^{prefix}\s+([A-Z0-9]+)", 1), F.lit("")), up), code))
+    return F.when(c.isNull(), "000").otherwise(value)
 
 
 def _section_text(c: Column) -> Column:
@@ -88,7 +106,7 @@ def is_first_section(c: Column) -> Column:
 
 def heading_code(mapping_id: Column, heading: Column) -> Column:
     """Five digits of a heading's dictionary id; 00001 without a heading, 00000 where the dictionary lacks it."""
-    return F.when(heading.isNull(), "00001").otherwise(F.format_string("%05d", F.coalesce(mapping_id, F.lit(0))))
+    return F.when(heading.isNull(), "00001").otherwise(_digits(F.coalesce(mapping_id, F.lit(0)), 5))
 
 
 def unique_key(*, law_id: Column, division: Column, title: Column, subtitle: Column, chapter: Column, subchapter: Column, entry_type: Column, section_number: Column, heading_codes: list[Column]) -> Column:

@@ -119,3 +119,22 @@ def test_text(spark):
     assert column(spark, ["  x \n", None, "NaN "], text.norm) == ["x", "", ""]
     df = spark.createDataFrame([({"b": "1", "a": "2"},)], "m map<string,string>")
     assert df.select(text.canonical_map(F.col("m"))).first()[0] == '{"a":"2","b":"1"}'
+
+
+def test_strip_takes_all_white_space_and_nothing_else(spark):
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    df = spark.createDataFrame([(chr(p) + "a \n b" + chr(p) * 2,) for p in points] + [("",), (" 　",), (None,)], "s string")
+    assert df.where(~text.strip(F.col("s")).eqNullSafe(F.regexp_replace("s", r"(?U)^\s+|\s+$", ""))).count() == 0
+
+
+def test_codes_name_their_text_a_few_times(spark):
+    # an expression that names its text often grows with each step
+    plan = spark.range(1).select(codes.numeral_code(F.coalesce(F.concat(F.lit("marked "), F.col("id").cast("string")), F.lit("none")), "TITLE").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("marked ") == 1
+    said = ["TITLE IV", "title 1234", "TITLE 99999999999999999999", "IIII", " 7 ", "x", "", None, "CHAPTER 3"]
+    df = spark.createDataFrame(list(enumerate(said)), "i int, s string").select("i", codes.numeral_code(F.col("s"), "TITLE").alias("c"), codes.roman_value(F.col("s")).alias("r"))
+    assert [(x.c, x.r) for x in sorted(df.collect())] == [("004", 0), ("1234", 0), ("null", 0), ("004", 4), ("007", 0), ("010", 10), ("000", 0), ("000", 0), ("000", 0)]
+    df = spark.createDataFrame([(n, w) for n in (None, -12345, -7, 0, 5, 99, 100, 999, 1000, 123456) for w in (3,)], "n long, w int").select(codes._digits(F.col("n"), 3).alias("a"), F.format_string("%03d", "n").alias("b"))
+    assert all(x.a == x.b for x in df.collect())
+    letters = spark.createDataFrame([("A",), ("Z",), ("AA",), ("ABC",)], "s string").select(codes.letters_value(F.col("s")).alias("v"))
+    assert [x.v for x in letters.collect()] == [1, 26, 27, 731]
