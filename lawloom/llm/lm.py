@@ -6,8 +6,11 @@ of the class), whose biases start from the counts of words. A document's score i
 
 The network's outputs are the most frequent words of the whole corpus (a shuffle of partial counts) and hashed buckets
 for all others; a word in a bucket adds log P(word | bucket), by the counts of all words of the corpus, to the network's
-log P(bucket | both sides). Those counts are as many as the corpus has words; they meet the texts in a shuffle and are
-never gathered.
+log P(bucket | both sides). Those counts are as many as the corpus has words; they meet the words of the texts in a
+shuffle and are never gathered.
+
+Texts are divided into words once. They rest in lots of about LOT words: the lot's different words, and for each text
+where its words stand among them. What later steps ask of a word they ask once a lot.
 
 Training covers every document once. Documents are dealt by the hash of id and text into shards of about SHARD words,
 and each into one of a number of rounds that grows with the logarithm of the shards. In a round each shard trains its
@@ -24,17 +27,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import cut, utf8
+from lawloom.llm.common import cut, slices, utf8
 
 CLASSES = MEMBERS = 32
 BUCKETS = 128
@@ -48,38 +52,87 @@ SHARD = 4_000_000
 GROUP = 400_000
 #: Steps of a weight in sums, as a fraction of 1.
 STEP = 1 << 20
-#: Words that a task counts before it passes its counts on.
-COUNTED = 200_000
+#: Different words of a lot of texts, and all of its words, about.
+LOT_WORDS = 400_000
+LOT = 4_000_000
 
 _V = CLASSES * MEMBERS
 _PAD = _V  # the place before a text and after it
+_ONES = np.ones((CLASSES, 1), np.float32)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """word, n: how often each word occurs in all texts."""
+def _packed(raw: bytes | np.ndarray) -> bytes:
+    """Compressed; of numbers their lowest bytes first, then the next."""
+    if isinstance(raw, np.ndarray):
+        raw = raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpacked(blob: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+
+
+def _numbers(blob: bytes, of: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpacked(blob), np.uint8).reshape(np.dtype(of).itemsize, -1).T).view(of).ravel()
+
+
+LOTS = "lot long, doc_id array<long>, h array<long>, size array<int>, ids binary, words binary"
+
+
+def lots(docs: DataFrame) -> DataFrame:
+    """Texts in lots, read once, at rest: the lot's words, each once, and of each text its id, the hash of id and text, its size in words and where its words stand in the lot's (ids)."""
 
     def run(batches):
-        counts: dict[bytes, int] = {}
+        task, made = TaskContext.get().partitionId(), 0
+        places: defaultdict[bytes, int] = defaultdict()
+        places.default_factory = places.__len__
+        texts: list[tuple] = []
+        held = 0
 
         def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-            counts.clear()
-            return batch
-
-        for b in batches:
-            for t in utf8(b["text"]):
-                for w in words_of(t):
-                    counts[w] = counts.get(w, 0) + 1
-                if len(counts) > COUNTED:
+            nonlocal made, held
+            doc_ids, hs, ids = zip(*texts)
+            row = ((task << 32) + made, doc_ids, hs, [len(x) for x in ids], _packed(np.concatenate(ids).astype("<i4")), _packed(b" ".join(places)))
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+            texts.clear()
+            places.clear()
+            made, held = made + 1, 0
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], [x.split()[0] for x in LOTS.split(", ")])
+
+        for b in slices(batches):
+            for doc_id, h, text in zip(b["doc_id"].to_pylist(), b["h"].to_pylist(), utf8(b["text"])):
+                words = words_of(text)
+                texts.append((doc_id, h, np.fromiter(map(places.__getitem__, words), np.int32, len(words))))
+                held += len(words) + 1
+                if len(places) > LOT_WORDS or held > LOT:
                     yield out()
-        if counts:
+        if texts:
             yield out()
 
-    return cut(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return cut(texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(run, LOTS))
+
+
+def counts(docs: DataFrame) -> DataFrame:
+    """word, n: how often each word occurs in all texts."""
+    return counts_of(lots(docs))
+
+
+def counts_of(made: DataFrame) -> DataFrame:
+    """As ``counts``, from lots."""
+
+    def run(batches):
+        for b in batches:
+            for blob, ids in zip(b["words"].to_pylist(), b["ids"].to_pylist()):
+                words = _unpacked(blob).split()
+                n = np.bincount(_numbers(ids, "<i4"), minlength=len(words))
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
+
+    return cut(made.select("words", "ids").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
 @dataclass
@@ -104,40 +157,33 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(ids, counts, others)
 
 
-def in_buckets(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """key (hash of a text), within: log P(word | bucket), summed over the text's words in buckets, if it has any."""
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(vocab.ids)
-    total = F.broadcast(spark.createDataFrame([(b, int(n)) for b, n in enumerate(vocab.counts[_V - BUCKETS :]) if n], "bucket int, of long"))
-    each = vocab.others.join(total, "bucket").select("h", F.log(F.col("n") / F.col("of")).alias("log_p"))
+def in_buckets(made: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """lot, at, n: how often each word of a lot that is in a bucket occurs in the corpus."""
+    known = made.sparkSession.sparkContext.broadcast(vocab.ids)
 
     def run(batches):
         seen = known.value
         for b in batches:
-            own = [Counter(w for w in words_of(t) if w not in seen) for t in utf8(b["text"])]
-            size = np.array([len(c) for c in own], np.int64)
-            h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for c in own for w in c), np.uint64, int(size.sum())).view(np.int64)
-            n = np.fromiter((x for c in own for x in c.values()), np.int32, len(h))
-            key = np.repeat(b["key"].to_numpy(zero_copy_only=False), size)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(h), pa.array(n), pa.array(np.repeat(size, size).astype(np.int32))], ["key", "h", "n", "size"])
+            for lot, blob in zip(b["lot"].to_pylist(), b["words"].to_pylist()):
+                words = _unpacked(blob).split()
+                at = np.array([i for i, w in enumerate(words) if w not in seen], np.int32)
+                h = np.fromiter((xxhash.xxh64_intdigest(words[i], 42) for i in at), np.uint64, len(at)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), lot, np.int64)), pa.array(at), pa.array(h)], ["lot", "at", "h"])
 
-    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select(F.xxhash64("text").alias("key"), "text")
-    rows = texts.mapInArrow(run, "key long, h long, n int, size int").join(each, "h")
-    # equal texts have one key: their rows come once for each of them
-    return rows.groupBy("key").agg((F.sum(F.col("n") * F.col("log_p")) * F.max("size") / F.count("*")).alias("within"))
+    return made.select("lot", "words").mapInArrow(run, "lot long, at int, h long").join(vocab.others, "h").select("lot", "at", "n")
 
 
-def ids_of(text: bytes | None, vocab: dict[bytes, int]) -> np.ndarray:
+def places_of(words: list[bytes], vocab: dict[bytes, int]) -> np.ndarray:
     get, first = vocab.get, _V - BUCKETS
-    return np.array([i if (i := get(w, -1)) >= 0 else first + zlib.crc32(w) % BUCKETS for w in words_of(text)], np.int16)
+    return np.array([i if (i := get(w, -1)) >= 0 else first + zlib.crc32(w) % BUCKETS for w in words], "<i2")
 
 
 def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Centres, and their neighbours on both sides; texts do not see each other."""
     pad = np.full(2, _PAD, np.int16)
     flat = np.concatenate([pad, *(x for t in texts for x in (t, pad))])
-    at = np.flatnonzero(flat != _PAD)
-    return flat[at], np.stack([flat[at + s] for s in SIDES])
+    at = flat[2:-2] != _PAD
+    return flat[2:-2][at], np.stack([flat[2 + s : len(flat) - 2 + s][at] for s in SIDES])
 
 
 @dataclass
@@ -169,19 +215,20 @@ class Net:
         return cls(f[:n].reshape(len(SIDES), _V + 1, WIDTH).copy(), f[n : n + k].reshape(WIDTH + 1, CLASSES).copy(), f[n + k :].reshape(CLASSES, WIDTH + 1, MEMBERS).copy())
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
-        h = self.e[0][sides[0]]
+        total = self.e[0].take(sides[0], axis=0)
         for s in range(1, len(SIDES)):
-            h += self.e[s][sides[s]]
-        np.tanh(h, out=h)
-        return np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+            total += self.e[s].take(sides[s], axis=0)
+        h = np.ones((len(total), WIDTH + 1), np.float32)
+        np.tanh(total, out=h[:, :-1])
+        return h
 
     @staticmethod
-    def softmax(z: np.ndarray) -> np.ndarray:
+    def softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials, and what each row is to be divided by."""
         if len(z) and z.max() > 60:
             z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= (z @ np.ones((z.shape[1], 1), z.dtype)) + np.float32(1e-30)
-        return z
+        return z, z @ _ONES + np.float32(1e-30)
 
     def log_p(self, centres: np.ndarray, sides: np.ndarray) -> np.ndarray:
         out = np.empty(len(centres), np.float64)
@@ -197,14 +244,15 @@ class Net:
     def _step(self, w: np.ndarray, sides: np.ndarray, rate: float) -> np.ndarray:
         """Log-probabilities; with a rate, a step of gradient descent on their mean as well."""
         order = np.argsort(w, kind="stable")
-        w, sides = w[order], sides[:, order]
+        w, sides = w[order], sides[:, order].astype(np.intp)
         h = self.hidden(sides)
         cls, mem, row = w // MEMBERS, w % MEMBERS, np.arange(len(w))
-        pc = self.softmax(h @ self.c)
+        pc, of = self.softmax(h @ self.c)
         place = row * CLASSES + cls
-        p = pc.ravel()[place]
+        p = pc.ravel()[place] / of.ravel()
         back = None
         if rate:
+            pc /= of
             pc.ravel()[place] -= 1
             back = pc @ self.c[:-1].T
             gc = h.T @ pc
@@ -213,10 +261,11 @@ class Net:
             a, b = ends[k], ends[k + 1]
             if a == b:
                 continue
-            pm = self.softmax(h[a:b] @ self.m[k])
+            pm, of = self.softmax(h[a:b] @ self.m[k])
             place = row[: b - a] * MEMBERS + mem[a:b]
-            p[a:b] *= pm.ravel()[place]
+            p[a:b] *= pm.ravel()[place] / of.ravel()
             if rate:
+                pm /= of
                 pm.ravel()[place] -= 1
                 back[a:b] += pm @ self.m[k][:-1].T
                 self.m[k] -= np.float32(rate * np.sqrt((b - a) / len(w)) / (b - a)) * (h[a:b].T @ pm)
@@ -224,12 +273,14 @@ class Net:
             self.c -= np.float32(rate / len(w)) * gc
             back *= 1 - h[:, :-1] ** 2
             for s in range(len(SIDES)):
-                by = np.argsort(sides[s], kind="stable")
-                words = sides[s][by]
-                first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
-                n = np.diff(np.r_[first, len(words)])[:, None]
+                by = np.argsort(sides[s].astype(np.int16), kind="stable")
+                words = sides[s].take(by)
+                first = np.concatenate([[0], np.flatnonzero(words[1:] != words[:-1]) + 1])
+                n = np.concatenate([first[1:], [len(words)]]) - first
+                # pairs of columns are added as complex numbers: half as many sums
+                total = np.add.reduceat(back.take(by, axis=0).view(np.complex64), first, axis=0).view(np.float32)
                 # a rare word's row moves by more than its share of the batch
-                self.e[s][words[first]] -= np.add.reduceat(back[by], first, axis=0) * (rate / np.sqrt(n * len(w))).astype(np.float32)
+                self.e[s][words[first]] -= total * (rate / np.sqrt(n * len(w))).astype(np.float32)[:, None]
         out = np.empty(len(w), np.float64)
         out[order] = np.log(np.maximum(p, np.float32(1e-30)))
         return out
@@ -249,23 +300,41 @@ def _groups(texts, most: int = GROUP):
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, shards: int, rounds: int) -> DataFrame:
-    """doc_id, key (hash of the text), shard, round, ids: at rest, a shard in one partition, in the order of hashes."""
-    words = docs.sparkSession.sparkContext.broadcast(vocab.ids)
+    """doc_id, within (log P(word | bucket), summed over the text's words in buckets), shard, round, ids: at rest, a shard in one partition, in the order of hashes."""
+    return encode_lots(lots(docs), vocab, shards, rounds)
 
-    def run(batches):
-        for b in batches:
-            ids = [ids_of(t, words.value).astype("<i2").tobytes() for t in utf8(b["text"])]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["key"], b["h"], pa.array(ids, pa.binary())], ["doc_id", "key", "h", "ids"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = texts.select("doc_id", "text", F.xxhash64("text").alias("key"), F.xxhash64("doc_id", "text").alias("h"))
-    made = named.mapInArrow(run, "doc_id long, key long, h long, ids binary")
-    dealt = made.withColumns({"round": F.pmod("h", F.lit(rounds)).cast("int"), "shard": F.pmod(F.shiftright("h", 20), F.lit(shards)).cast("int")})
+def encode_lots(made: DataFrame, vocab: Vocabulary, shards: int, rounds: int) -> DataFrame:
+    """As ``encode``, from lots."""
+    sc = made.sparkSession.sparkContext
+    known, totals = sc.broadcast(vocab.ids), sc.broadcast(vocab.counts)
+
+    def placed(batches):
+        for b in batches:
+            places = [_packed(places_of(_unpacked(w).split(), known.value)) for w in b["words"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b[x] for x in b.schema.names if x != "words"), pa.array(places, pa.binary())], [*(x for x in b.schema.names if x != "words"), "places"])
+
+    def run(lot: pa.Table, found: pa.Table) -> pa.Table:
+        row = {name: lot[name][0] for name in lot.column_names}
+        places = _numbers(row["places"].as_py(), "<i2")
+        log_p, at = np.zeros(len(places)), found["at"].to_numpy()
+        log_p[at] = np.log(found["n"].to_numpy() / totals.value[places[at]])
+        size = row["size"].values.to_numpy()
+        flat = _numbers(row["ids"].as_py(), "<i4")
+        # a text's own sum, whatever else is in the lot
+        within = np.bincount(np.repeat(np.arange(len(size)), size), log_p[flat], len(size)).astype(np.float64)
+        ids, ends = places[flat], np.cumsum(size)
+        own = pa.array([_packed(ids[b - n : b]) for n, b in zip(size.tolist(), ends.tolist())], pa.binary())
+        return pa.Table.from_arrays([row["doc_id"].values, row["h"].values, pa.array(within), own], ["doc_id", "h", "within", "ids"])
+
+    texts = made.mapInArrow(placed, LOTS.replace("words", "places")).groupBy("lot")
+    named = texts.cogroup(in_buckets(made, vocab).groupBy("lot")).applyInArrow(run, "doc_id long, h long, within double, ids binary")
+    dealt = named.withColumns({"round": F.pmod("h", F.lit(rounds)).cast("int"), "shard": F.pmod(F.shiftright("h", 20), F.lit(shards)).cast("int")})
     return cut(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "doc_id"))
 
 
 def _ids(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<i2") for x in batch["ids"].to_pylist()]
+    return [_numbers(x, "<i2") for x in batch["ids"].to_pylist()]
 
 
 def train(encoded: DataFrame, counts: np.ndarray, rounds: int) -> Net:
@@ -308,7 +377,7 @@ def _add(a, b):
 
 
 def score(encoded: DataFrame, net: Net) -> DataFrame:
-    """doc_id, key, n_tokens and log_prob, the network's sum."""
+    """doc_id, within, n_tokens and log_prob, the network's sum."""
     flat = encoded.sparkSession.sparkContext.broadcast(net.flat())
 
     def run(batches):
@@ -321,9 +390,9 @@ def score(encoded: DataFrame, net: Net) -> DataFrame:
                 ends = np.cumsum(sizes)
                 n += sizes.tolist()
                 total += (log_p[ends] - log_p[ends - sizes]).tolist()
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["key"], pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "key", "n_tokens", "log_prob"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["within"], pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "within", "n_tokens", "log_prob"])
 
-    return encoded.select("doc_id", "key", "ids").mapInArrow(run, "doc_id long, key long, n_tokens long, log_prob double")
+    return encoded.select("doc_id", "within", "ids").mapInArrow(run, "doc_id long, within double, n_tokens long, log_prob double")
 
 
 def rounds_for(shards: int) -> int:
@@ -332,10 +401,11 @@ def rounds_for(shards: int) -> int:
 
 def score_corpus(docs: DataFrame, *, shard: int = SHARD) -> DataFrame:
     """doc_id, n_tokens, log_prob (summed) and mean_log_prob."""
-    counted = counts(docs)
+    made = lots(docs)
+    counted = counts_of(made)
     vocab = vocabulary(counted)
     shards = max(1, -(-(counted.agg(F.sum("n").alias("n")).first()["n"] or 0) // shard))
-    encoded = encode(docs, vocab, shards, rounds_for(shards))
-    scored = score(encoded, train(encoded, vocab.counts, rounds_for(shards))).join(in_buckets(docs, vocab), "key", "left")
-    whole = scored.select("doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("within", F.lit(0.0))).alias("log_prob"))
+    encoded = encode_lots(made, vocab, shards, rounds_for(shards))
+    scored = score(encoded, train(encoded, vocab.counts, rounds_for(shards)))
+    whole = scored.select("doc_id", "n_tokens", (F.col("log_prob") + F.col("within")).alias("log_prob"))
     return whole.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).otherwise(0.0))

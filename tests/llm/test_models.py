@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from lawloom.llm import lm, quality, samples, toxicity
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.1"
 DOCS = "doc_id long, text string, score double"
@@ -183,3 +184,21 @@ def test_network_beats_word_counts_on_held_out_documents(spark):
 def test_a_very_long_text_and_names_of_columns(spark):
     d = spark.createDataFrame([(1, "a b c " * 100_000, 1, 2, 3), (2, "a b", 1, 2, 3)], "doc_id long, text string, key int, word int, h int")
     assert sorted((r.doc_id, r.n_tokens) for r in lm.score_corpus(d).collect()) == [(1, 300_000), (2, 2)]
+
+
+def test_texts_are_read_once_and_lots_change_no_score(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        read.add(1)
+        return None if i % 10 == 3 else " ".join(f"w{(i * j * j) % 1993}" for j in range(i % 7 * 40))
+
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), text.asNondeterministic()("id").alias("text"))
+    one = {r.doc_id: (r.n_tokens, r.log_prob) for r in lm.score_corpus(docs).collect()}
+    assert read.value == 300
+    monkeypatch.setattr(lm, "LOT", 500)
+    assert lm.lots(docs).count() > 40
+    many = {r.doc_id: (r.n_tokens, r.log_prob) for r in lm.score_corpus(docs).collect()}
+    assert one.keys() == many.keys() and len(one) == 300
+    assert all(one[i][0] == many[i][0] and abs(one[i][1] - many[i][1]) <= 1e-6 * abs(one[i][1]) for i in one)
