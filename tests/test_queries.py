@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from lawloom.operators import segment
 from lawloom.plans import oracles, queries
+from lawloom.sources import markup
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -56,3 +57,14 @@ def test_places_are_those_that_numpy_draws(spark, duck):
         want |= {(vol, able[i]): order for i, order in segment.draw_like_numpy(len(able))}
     assert {(r.vol, r.original_order): r.order_no for r in got if r.selection} == want
     assert all(r.order_no is None for r in got if not r.selection)
+
+
+def test_strict_closes_paths_that_the_free_walk_opens(spark):
+    free, strict = ({r.p_partkey: r for r in queries.queries()[n](spark, DIR).collect()} for n in ("walk_paths", "walk_paths_strict"))
+    path = {k: queries.WALK_PATHS[k % len(queries.WALK_PATHS)] for k in free}
+    known = {k for k in free if path[k] in markup.STRICT_PATHS["section"]}
+    assert {k for k in free if strict.get(k) == free[k]} == known
+    assert {path[k] for k in free if k not in strict} == {"division/title/chapter", "division/title/part/chapter"}
+    recovered = {(path[k], r.Title, r.Chapter, r.SubChapter, r.DivisionHeadingLevel1, r.DivisionHeadingLevel2) for k, r in strict.items() if k not in known}
+    assert recovered == {("title/part", None, None, None, "TITLE 1", "PART 1"), ("title/chapter/subchapter", None, None, None, "TITLE 1", "CHAPTER 1")}
+    assert all((strict[k].SectionNumber, strict[k].SectionName, strict[k].Text) == (free[k].SectionNumber, free[k].SectionName, free[k].Text) for k in strict)
